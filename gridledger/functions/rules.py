@@ -17,13 +17,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Text tokens a pandas CSV reader treats as missing (its default NA set).
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+               "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def null_tokens_to_null(col) -> Column:
+    """Map missing-value tokens to SQL NULL (applied to raw CSV text at scan time)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(c.isin(*NULL_TOKENS), F.lit(None).cast("string")).otherwise(c)
+
+
 @dataclass(frozen=True)
 class Rule:
+    """``fails`` is a Column, or a zero-argument callable building one.
+
+    The callable form lets contracts be declared at import time, before a
+    SparkContext exists; the Column is built when the contract is applied.
+    """
     rule_id: str
-    fails: Column  # TRUE when the row violates the rule
+    fails: object  # Column | Callable[[], Column]; TRUE when the row violates the rule
+
+    def predicate(self) -> Column:
+        return self.fails() if callable(self.fails) and not isinstance(self.fails, Column) else self.fails
 
     def failure(self) -> Column:
-        return F.coalesce(self.fails, F.lit(False))
+        return F.coalesce(self.predicate(), F.lit(False))
 
 
 def _c(col) -> Column:
@@ -35,32 +54,33 @@ def _name(col) -> str:
 
 
 def not_null(col: str) -> Rule:
-    return Rule(f"{col}:not_null", F.col(col).isNull())
+    return Rule(f"{col}:not_null", lambda: F.col(col).isNull())
 
 
 def ge(col: str, bound) -> Rule:
-    return Rule(f"{col}:ge({bound})", F.col(col) < F.lit(bound))
+    return Rule(f"{col}:ge({bound})", lambda: F.col(col) < F.lit(bound))
 
 
 def le(col: str, bound) -> Rule:
-    return Rule(f"{col}:le({bound})", F.col(col) > F.lit(bound))
+    return Rule(f"{col}:le({bound})", lambda: F.col(col) > F.lit(bound))
 
 
 def in_range(col: str, lo, hi) -> Rule:
     return Rule(f"{col}:in_range({lo},{hi})",
-                (F.col(col) < F.lit(lo)) | (F.col(col) > F.lit(hi)))
+                lambda: (F.col(col) < F.lit(lo)) | (F.col(col) > F.lit(hi)))
 
 
 def isin(col: str, allowed: Iterable) -> Rule:
     allowed = sorted(allowed)
     return Rule(f"{col}:isin({','.join(map(str, allowed))})",
-                ~F.col(col).isin(*allowed))
+                lambda: ~F.col(col).isin(*allowed))
 
 
 def coerced(raw_col: str, typed_col: str, type_name: str) -> Rule:
-    """Raw text was present but did not coerce to the target type."""
+    """Raw text was present (and not a missing-value token) but did not coerce to the type."""
     return Rule(f"{typed_col}:coerce({type_name})",
-                F.col(raw_col).isNotNull() & F.col(typed_col).isNull())
+                lambda: F.col(raw_col).isNotNull() & ~F.col(raw_col).isin(*NULL_TOKENS)
+                & F.col(typed_col).isNull())
 
 
 def try_number(col, type_name: str = "double") -> Column:

@@ -90,15 +90,23 @@ class ChangeLog:
         fs = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         return fs.exists(jpath)
 
-    def log(self, committed_batches: Iterable[int] | None = None) -> DataFrame:
+    def exists(self) -> bool:
+        return self._exists(self.log_path)
+
+    def log(self, committed: DataFrame | None = None) -> DataFrame:
+        """The raw log; with ``committed`` (a frame of ``_batch_seq``), only committed batches.
+
+        The commit filter is a semi join, so the set of committed batches never
+        passes through the driver.
+        """
         df = self.spark.read.parquet(self.log_path)
-        if committed_batches is not None:
-            df = df.filter(F.col(BATCH_SEQ).isin(list(committed_batches)))
+        if committed is not None:
+            df = df.join(committed.select(BATCH_SEQ).distinct(), BATCH_SEQ, "left_semi")
         return df
 
-    def current(self, committed_batches: Iterable[int] | None = None) -> DataFrame:
+    def current(self, committed: DataFrame | None = None) -> DataFrame:
         """Latest row per key across the log (map-side combined aggregate)."""
-        df = self.log(committed_batches)
+        df = self.log(committed)
         latest = latest_per_key(df, self.keys, [BATCH_SEQ, ROW_SEQ])
         return latest.drop(BATCH_SEQ, ROW_SEQ)
 

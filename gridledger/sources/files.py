@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import content_sha
+from ..functions.rules import null_tokens_to_null
 from ..operators.contracts import Contract, column_set_reason
 
 FILE_PATH = "source_path"
@@ -61,7 +62,8 @@ def scan_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
              header: bool = True) -> DataFrame:
     """Scan headered CSV files that share one column layout, all columns as strings.
 
-    Adds ``source_path``, ``source_file`` and ``line_order`` =
+    Missing-value tokens (``NA``, ``NaN``, ``null``, ...) become NULL, as a
+    pandas reader would read them. Adds ``source_path``, ``source_file`` and ``line_order`` =
     ``(file_block_start, monotonically_increasing_id)``: within one file this
     orders rows as they appear in the file even when the file is split, which
     is what keep-last dedup needs.
@@ -70,7 +72,7 @@ def scan_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
                .option("header", header).option("enforceSchema", True)
                .option("mode", "PERMISSIVE")
                .csv(list(paths)))
-    return df.select(*columns,
+    return df.select(*[null_tokens_to_null(c).alias(c) for c in columns],
                      F.col("_metadata.file_path").alias(FILE_PATH),
                      _file_name(F.col("_metadata.file_path")).alias(FILE_NAME),
                      F.struct(F.col("_metadata.file_block_start").alias("block"),
