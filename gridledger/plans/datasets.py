@@ -35,7 +35,8 @@ class Dataset:
     fmt: str                                   # "csv" or "json"
     contract: Contract
     keys: tuple[str, ...]
-    date_col: str                              # UTC event date used for partitioning
+    date_col: str                              # partition column (UTC event date) of the fact
+    date_source: str                           # fact column the event date derives from
     fact_columns: tuple[str, ...]
     prepare: Callable[[DataFrame], DataFrame]  # raw scan -> typed rows the rules inspect
     finish: Callable[[DataFrame], DataFrame]   # accepted rows -> fact rows (dedup/aggregate)
@@ -84,6 +85,7 @@ LOAD = Dataset(
         )),
     keys=("baa", "interval_start_utc"),
     date_col="event_date",
+    date_source="interval_start_utc",
     fact_columns=("baa", "interval_start_utc", "interval_end_utc", "load_forecast_mw", "load_actual_mw"),
     prepare=_load_prepare,
     finish=_load_finish,
@@ -133,6 +135,7 @@ DAILY = Dataset(
         )),
     keys=("date",),
     date_col="event_date",
+    date_source="date",
     fact_columns=("date", "solar_production_kwh", "completeness_pct", "data_status"),
     prepare=_daily_prepare,
     finish=_daily_finish,
@@ -184,6 +187,7 @@ WEATHER = Dataset(
         )),
     keys=("date", "station"),
     date_col="event_date",
+    date_source="date",
     fact_columns=("date", "station", "avg_temperature_c", "avg_sky_cover_pct"),
     prepare=_weather_prepare,
     finish=_weather_finish,
@@ -232,6 +236,7 @@ FORECAST = Dataset(
         )),
     keys=("forecast_for_date", "captured_at_utc"),
     date_col="event_date",
+    date_source="forecast_for_date",
     fact_columns=("forecast_for_date", "captured_at_utc", "forecast_kwh"),
     prepare=_forecast_prepare,
     finish=_forecast_finish,
@@ -244,8 +249,3 @@ FORECAST = Dataset(
 
 DATASETS = {d.name: d for d in (LOAD, DAILY, WEATHER, FORECAST)}
 
-
-def event_date(dataset: Dataset) -> F.Column:
-    """UTC event date of a fact row; a key never changes its date, so partitions stay stable."""
-    first_key = dataset.keys[0]
-    return F.to_date(F.col(first_key))

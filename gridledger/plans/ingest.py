@@ -196,11 +196,12 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
     lineage = [F.lit(as_of).cast("timestamp").alias("ingested_at"), F.lit(run_id).alias("pipeline_run_id")]
     if flagged is not None:
         rejected = contracts.rejected(flagged).select(
-            *[c for c in flagged.columns if not c.startswith("_")], *lineage)
+            *[c for c in flagged.columns if not c.startswith("_")],
+            F.lit(as_of).cast("timestamp").alias("quarantined_at"), F.lit(run_id).alias("pipeline_run_id"))
         rejected.write.mode("append").parquet(store.path("quarantine", dataset.name))
         facts = dataset.finish(contracts.accepted(flagged))
         facts = facts.select(*dataset.fact_columns, files.FILE_NAME, *lineage) \
-                     .withColumn(dataset.date_col, F.to_date(F.col(dataset.keys[0])))
+                     .withColumn(dataset.date_col, F.to_date(F.col(dataset.date_source)))
         facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
         facts.write.mode("append").partitionBy(dataset.date_col).parquet(store.path("normalized", dataset.name))
         store.facts(dataset).append(facts, batch_seq)
