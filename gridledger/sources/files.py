@@ -156,7 +156,12 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> tuple
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType(), True)])
     df = (spark.read.schema(with_corrupt).option("mode", "PERMISSIVE")
                .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    if good.limit(1).count() == 0 and df.limit(1).count() > 0:
+    good = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    # one aggregate decides the status; a parsed column is referenced alongside the
+    # corrupt-record column because Spark refuses queries on that column alone
+    stats = df.agg(F.count_if(F.col("_corrupt_record").isNull()).alias("good"),
+                   F.count(F.lit(1)).alias("n"),
+                   F.count(F.col(schema.fields[0].name)).alias("_parsed")).first()
+    if stats["n"] > 0 and stats["good"] == 0:
         return spark.createDataFrame([], schema), "export_corrupt"
     return good, "ok"
