@@ -533,6 +533,28 @@ def q_reconcile(spark, sf_dir):
                     "reconcile_status")
 
 
+# ---------------------------------------------------------------- streaming
+
+def q_stream_upsert(spark, sf_dir):
+    """Catch-up stream over the events table: keyed upsert into a change log, read back latest."""
+    import datetime as _dt
+
+    from ..streaming.file_stream import stream_table_upsert
+    from .ingest import Store
+    store = Store(spark, scratch_path(spark, "stream-upsert"))
+
+    def project(batch):
+        return batch.select("user_id", F.date_trunc("hour", "ts").alias("hour"), "event_id", "value",
+                            F.to_date("ts").alias("event_date"))
+    q = stream_table_upsert(store, f"{sf_dir.rstrip('/')}/events.parquet", "events", ["user_id", "hour"],
+                            "event_date", project, ["event_id"], store.path("_checkpoint"),
+                            _dt.datetime(2024, 2, 1))
+    q.awaitTermination()
+    log = upsert.ChangeLog(spark, store.path("facts", "events"), ["user_id", "hour"], "event_date")
+    committed = store.runs().filter(F.col("source") == "events").select(upsert.BATCH_SEQ)
+    return log.current(committed).select("user_id", "hour", "event_id", "value")
+
+
 # ---------------------------------------------------------------- registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -574,6 +596,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_forecast_window": q_export_forecast_window,
     "snapshot_filter": q_snapshot_filter,
     "reconcile": q_reconcile,
+    "stream_upsert": q_stream_upsert,
 }
 
 
@@ -748,6 +771,11 @@ SELECT g.rid, 'events' AS source, g.request_status, g.start_date, g.end_date,
        coalesce(s.n, 0) > 100 AS truncated,
        CASE WHEN g.request_status = 'ok' THEN 'quarantine_excluded' END AS quality_status
 FROM guarded g LEFT JOIN stats s USING (rid)""",
+    "stream_upsert": """
+SELECT user_id, hour, event_id, value FROM (
+  SELECT user_id, date_trunc('hour', ts) AS hour, event_id, value,
+         row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY event_id DESC) AS rn
+  FROM events) t WHERE rn = 1""",
     "quality_newest": """
 SELECT event_id, ts, event_type, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 100""",
     "export_window": """

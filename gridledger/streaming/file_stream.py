@@ -110,10 +110,21 @@ def start_csv_stream(store: Store, dataset: Dataset, source_dir: str, checkpoint
 def stream_table_upsert(store: Store, table_path: str, source: str, keys: Sequence[str], date_col: str,
                         project: Callable[[DataFrame], DataFrame], order_cols: Sequence[str],
                         checkpoint: str, as_of: _dt.datetime, max_files_per_trigger: int = 1) -> StreamingQuery:
-    """Catch-up stream over a Parquet table: every new file is one keyed upsert batch."""
+    """Catch-up stream over Parquet files: every trigger's new files are one keyed upsert batch.
+
+    ``table_path`` is a directory, or one file inside a directory (then only
+    files with that name are picked up, through ``pathGlobFilter``).
+    """
     spark = store.spark
     schema = spark.read.parquet(table_path).schema
-    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", int(max_files_per_trigger)).parquet(table_path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", int(max_files_per_trigger))
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(table_path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.isFile(jpath):
+        reader = reader.option("pathGlobFilter", jpath.getName())
+        table_path = jpath.getParent().toString()
+    raw = reader.parquet(table_path)
     fn = upsert_batches(store, source, keys, date_col, project, order_cols, as_of)
     return (raw.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
