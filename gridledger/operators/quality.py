@@ -12,11 +12,12 @@ and shuffle-light instead:
    aggregate with map-side combine: the rows never shuffle, only one small
    row per bucket per input partition does.
 3. A gap is a pair of consecutive non-empty buckets whose ``min`` minus the
-   previous bucket's ``max`` exceeds ``max_gap``. The predecessor comes from
-   a two-level lag over the (already tiny) bucket frame: ``lag`` inside
-   groups of ``fanout`` buckets, then the previous group's ``max`` for each
-   group's first bucket, so no window partition is ever larger than
-   ``fanout`` rows however long a series' history is.
+   previous bucket's ``max`` exceeds ``max_gap``. Pairs come from a two-level
+   lag over the (already tiny) bucket frame: ``lag`` inside groups of
+   ``fanout`` buckets, and ``lag`` over group summaries for the pairs that
+   straddle two groups. No window partition holds more than ``fanout`` rows
+   per series at the first level, and the second level has ``fanout`` times
+   fewer rows than there are buckets; no join is needed.
 
 The output equals the per-row ``lag`` form: one row per hole, however many
 intervals are missing; edges (before the first / after the last reading)
@@ -61,22 +62,18 @@ def detect_gaps(df: DataFrame, keys: Sequence[str], ts_col: str, max_gap_seconds
                  .groupBy(*keys, "_bucket")
                  .agg(F.min("_ts").alias("_lo"), F.max("_ts").alias("_hi"))
                  .withColumn("_group", F.floor(F.col("_bucket") / F.lit(fanout))))
-    inner = Window.partitionBy(*keys, "_group").orderBy("_bucket")
-    buckets = buckets.withColumn("_prev_in", F.lag("_hi").over(inner))
-    groups = (buckets.groupBy(*keys, "_group").agg(F.max("_hi").alias("_ghi"))
-                     .withColumn("_prev_group_hi",
-                                 F.lag("_ghi").over(Window.partitionBy(*keys).orderBy("_group")))
-                     .select(*[F.col(k).alias(f"_g_{k}") for k in keys],
-                             F.col("_group").alias("_g_group"), "_prev_group_hi"))
-    # null-safe join: a series key may be NULL and still forms its own series
-    cond = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys] + [F.col("_group") == F.col("_g_group")]
-    joined = buckets.join(groups, cond).select(*keys, "_lo", "_prev_in", "_prev_group_hi")
-    prev = F.coalesce(F.col("_prev_in"), F.col("_prev_group_hi"))
-    diff_us = _micros("_lo") - _micros(prev)
-    return (joined.withColumn(prev_name, prev)
-                  .filter(F.col(prev_name).isNotNull() & (diff_us > F.lit(gap_us)))
-                  .select(*keys, F.col(prev_name), F.col("_lo").alias(next_name),
-                          ((_micros("_lo") - _micros(prev_name)) / F.lit(1_000_000)).alias("gap_seconds")))
+    # consecutive buckets inside a group of ``fanout`` buckets
+    inner_w = Window.partitionBy(*keys, "_group").orderBy("_bucket")
+    inner = buckets.select(*keys, F.lag("_hi").over(inner_w).alias(prev_name), F.col("_lo").alias(next_name))
+    # consecutive groups: last reading of the previous non-empty group -> first of this one
+    groups = buckets.groupBy(*keys, "_group").agg(F.min("_lo").alias("_glo"), F.max("_hi").alias("_ghi"))
+    outer_w = Window.partitionBy(*keys).orderBy("_group")
+    outer = groups.select(*keys, F.lag("_ghi").over(outer_w).alias(prev_name), F.col("_glo").alias(next_name))
+    # both halves read min and max of the same bucket aggregate, so its shuffle is reused
+    pairs = inner.unionByName(outer)
+    diff_us = _micros(next_name) - _micros(prev_name)
+    return (pairs.filter(F.col(prev_name).isNotNull() & (diff_us > F.lit(gap_us)))
+                 .select(*keys, prev_name, next_name, (diff_us / F.lit(1_000_000)).alias("gap_seconds")))
 
 
 def completeness_by_key(series_keys: DataFrame, gaps: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -75,10 +75,34 @@ def bounded_read(df: DataFrame, ts_col: str, start, end, order_cols: Sequence[st
     return rows.orderBy(*order_cols).limit(int(cap))
 
 
-def _request_days(valid: DataFrame, rid_col: str, span_days_cap: int) -> DataFrame:
-    """One row per (request, covered UTC day); a request covers at most ``max_days + 1`` days."""
-    return valid.select(rid_col, "_key", "start_date", "end_date",
-                        F.explode(F.sequence(F.col("start_date"), F.col("end_date"))).alias("_day"))
+def _request_days(valid: DataFrame) -> DataFrame:
+    """One row per (request, covered UTC day); the guard bounds a request to ``max_days + 1`` days."""
+    return valid.select("_rid", "_key", F.explode(F.sequence(F.col("start_date"), F.col("end_date"))).alias("_day"))
+
+
+def _valid_requests(requests: DataFrame, rid_col: str, req_key_col: str) -> DataFrame:
+    return (requests.filter(F.col("request_status") == OK)
+                    .select(F.col(rid_col).alias("_rid"), F.col(req_key_col).alias("_key"), "start_date", "end_date"))
+
+
+def fact_day_stats(facts: DataFrame, fact_key_col: str, ts_col: str) -> DataFrame:
+    """Facts pre-aggregated per (key, UTC day): count, first and last timestamp.
+
+    A hash aggregate with map-side combine over two columns: what crosses the
+    shuffle is one row per (key, day) per input partition, not the facts.
+    """
+    return (facts.groupBy(F.col(fact_key_col).alias("_skey"), F.to_date(F.col(ts_col)).alias("_sday"))
+                 .agg(F.count(F.lit(1)).alias("_n"), F.min(ts_col).alias("_first"), F.max(ts_col).alias("_last")))
+
+
+def _request_stats(requests: DataFrame, facts: DataFrame, rid_col: str, req_key_col: str,
+                   fact_key_col: str, ts_col: str) -> DataFrame:
+    """Per valid request: matched row count and first/last timestamp, from the per-day stats."""
+    days = _request_days(_valid_requests(requests, rid_col, req_key_col))
+    stats = fact_day_stats(facts, fact_key_col, ts_col)
+    j = days.join(stats, (days["_key"] == stats["_skey"]) & (days["_day"] == stats["_sday"]))
+    return j.groupBy("_rid").agg(F.sum("_n").alias("matched_rows"), F.min("_first").alias("first_ts"),
+                                 F.max("_last").alias("last_ts"))
 
 
 def bulk_read(requests: DataFrame, facts: DataFrame, rid_col: str, req_key_col: str,
@@ -93,18 +117,17 @@ def bulk_read(requests: DataFrame, facts: DataFrame, rid_col: str, req_key_col:
     ``row_number() <= cap`` filter, which Spark turns into a partial
     per-partition group limit before the shuffle (``WindowGroupLimit``), so
     a request matching a huge share of the data is still cut map-side.
-    ``matched_rows`` / ``truncated`` come from a separate map-side-combined
-    count, so the envelope reports what the cap dropped.
+    ``matched_rows`` / ``truncated`` come from the per-(key, day) fact
+    statistics, so counting never re-joins the fact rows themselves.
     """
-    valid = (requests.filter(F.col("request_status") == OK)
-                     .select(rid_col, F.col(req_key_col).alias("_key"), "start_date", "end_date"))
-    days = _request_days(valid, rid_col, MAX_RANGE_DAYS)
-    f = facts.withColumn("_day", F.to_date(F.col(ts_col)))
-    matched = days.join(f, (days["_key"] == f[fact_key_col]) & (days["_day"] == f["_day"])) \
-                  .drop(days["_day"]).drop(f["_day"]).drop("_key", "start_date", "end_date")
+    days = _request_days(_valid_requests(requests, rid_col, req_key_col))
+    f = facts.withColumn("_fday", F.to_date(F.col(ts_col)))
+    matched = (days.join(f, (days["_key"] == f[fact_key_col]) & (days["_day"] == f["_fday"]))
+                   .drop("_key", "_day", "_fday").withColumnRenamed("_rid", rid_col))
     w = Window.partitionBy(rid_col).orderBy(*order_cols)
     capped = matched.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= int(cap))
-    counts = matched.groupBy(rid_col).agg(F.count(F.lit(1)).alias("matched_rows"))
+    counts = _request_stats(requests, facts, rid_col, req_key_col, fact_key_col, ts_col) \
+        .select(F.col("_rid").alias(rid_col), "matched_rows")
     return (capped.join(counts, rid_col)
                   .withColumn("truncated", F.col("matched_rows") > F.lit(int(cap)))
                   .withColumnRenamed("_rn", "row_in_request"))
@@ -115,15 +138,11 @@ def read_envelope(requests: DataFrame, facts: DataFrame, rid_col: str, req_key_c
     """One provenance row per request: status, period, count, first/last timestamp, truncated.
 
     Invalid requests still get a row (count 0) carrying their rejection reason.
+    Built from per-(key, day) fact statistics: the facts are aggregated once,
+    never joined row by row to the requests.
     """
-    valid = (requests.filter(F.col("request_status") == OK)
-                     .select(rid_col, F.col(req_key_col).alias("_key"), "start_date", "end_date"))
-    days = _request_days(valid, rid_col, MAX_RANGE_DAYS)
-    f = facts.select(F.col(fact_key_col).alias("_fkey"), F.col(ts_col).alias("_ts"),
-                     F.to_date(F.col(ts_col)).alias("_fday"))
-    matched = days.join(f, (days["_key"] == f["_fkey"]) & (days["_day"] == f["_fday"]))
-    stats = matched.groupBy(rid_col).agg(F.count(F.lit(1)).alias("matched_rows"),
-                                         F.min("_ts").alias("first_ts"), F.max("_ts").alias("last_ts"))
+    stats = _request_stats(requests, facts, rid_col, req_key_col, fact_key_col, ts_col) \
+        .withColumnRenamed("_rid", rid_col)
     out = requests.select(rid_col, "request_status", "start_date", "end_date").join(stats, rid_col, "left")
     n = F.coalesce(F.col("matched_rows"), F.lit(0)).cast("bigint")
     return out.select(rid_col, F.lit(source).alias("source"), "request_status", "start_date", "end_date",
