@@ -33,21 +33,36 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
            keep_known: Iterable[str] | None = None) -> DataFrame:
     """Insert-or-replace ``incoming`` into ``current`` on ``keys``.
 
-    ``order_cols`` (with a unique tie-breaker) dedups the batch keep-last
-    first, so a key repeated inside one batch resolves deterministically.
+    One pass: both sides are tagged (current 0, incoming 1) and unioned, and
+    the latest row per key by ``(tag, order_cols)`` wins -- a map-side
+    combined aggregate, so each input is scanned once and a hot key never
+    lands whole in one task. ``order_cols`` (ending in a unique tie-breaker)
+    resolves a key repeated inside the batch keep-last. ``keep_known``
+    columns take the latest non-NULL value instead, so a later NULL does not
+    erase a known value.
     """
     keys = list(keys)
-    if order_cols:
-        incoming = latest_per_key(incoming, keys, order_cols)
-    incoming = incoming.select(*current.columns)
+    cols = list(current.columns)
+    order_cols = list(order_cols or [])
+    order_types = {c: incoming.schema[c].dataType for c in order_cols}
+    cur = current.select(*cols, F.lit(0).alias("_src"),
+                         *[F.lit(None).cast(order_types[c]).alias(f"_o_{c}") for c in order_cols])
+    inc = incoming.select(*cols, F.lit(1).alias("_src"), *[F.col(c).alias(f"_o_{c}") for c in order_cols])
+    tagged = cur.unionByName(inc)
+    order = F.struct(F.col("_src"), *[F.col(f"_o_{c}") for c in order_cols])
     keep_known = [c for c in (keep_known or []) if c not in keys]
-    if keep_known:
-        old = current.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in keep_known])
-        incoming = (incoming.join(old, keys, "left")
-                    .select(*[F.coalesce(F.col(c), F.col(f"_old_{c}")).alias(c) if c in keep_known
-                              else F.col(c) for c in current.columns]))
-    untouched = current.join(incoming.select(*keys), keys, "left_anti")
-    return untouched.unionByName(incoming)
+    rest = [c for c in cols if c not in keys]
+    aggs = []
+    for c in rest:
+        if c in keep_known:
+            aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c))
+    plain = [c for c in rest if c not in keep_known]
+    if plain:
+        aggs.append(F.max_by(F.struct(*[F.col(c) for c in plain]), order).alias("_row"))
+    out = tagged.groupBy(*keys).agg(*aggs)
+    if plain:
+        out = out.select(*keys, *keep_known, "_row.*")
+    return out.select(*cols)
 
 
 def append_history(current: DataFrame, incoming: DataFrame, keys: Sequence[str],

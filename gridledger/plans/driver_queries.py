@@ -31,7 +31,7 @@ from ..functions import rules as R
 from ..functions.hashing import capture_name, content_sha
 from ..functions.timeparse import US_DATETIME, parse_datetime, parse_iso_instant, shift_hours
 from ..operators import accuracy, contracts, landing, normalize, quality, reads, reconcile, upsert
-from ..session import apply_sql_settings, scratch_path
+from ..session import apply_sql_settings, materialize, scratch_path
 from ..sources import files
 
 # Query parameters (dates inside the events table's January 2024 span).
@@ -243,9 +243,10 @@ EVENTS_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events
 # ---------------------------------------------------------------- landing
 
 def _doc_manifest(spark, sf_dir):
+    """Fingerprint every document once; classification reads the small checkpointed manifest."""
     d = _t(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").alias("landed_seq"), F.col("n_chars").alias("name"),
-                    content_sha("text").alias("content_sha"))
+    return materialize(d.select(F.col("doc_id").alias("landed_seq"), F.col("n_chars").alias("name"),
+                                content_sha("text").alias("content_sha")))
 
 
 def q_landing_immutable(spark, sf_dir):

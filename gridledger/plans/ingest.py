@@ -34,6 +34,7 @@ from ..functions.hashing import capture_name
 from ..operators import contracts, landing, quality
 from ..operators.keyed import latest_per_key
 from ..operators.upsert import BATCH_SEQ, ChangeLog
+from ..session import materialize
 from ..sources import files
 from .datasets import Dataset
 
@@ -120,7 +121,8 @@ def land(store: Store, dataset: Dataset, paths, batch_seq: int) -> DataFrame:
     """
     spark = store.spark
     incoming = files.raw_manifest(spark, paths)
-    incoming = _landing_name(spark, dataset, incoming, paths)
+    # hash the bytes once: classification reads the fingerprints in several branches
+    incoming = materialize(_landing_name(spark, dataset, incoming, paths))
     incoming = incoming.withColumn(
         "landed_seq", F.struct(F.lit(int(batch_seq)).cast("bigint").alias("batch"),
                                F.col("modified_at"), F.col(files.FILE_PATH).alias("path")))

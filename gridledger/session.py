@@ -96,3 +96,14 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df, spark: SparkSession | None = None):
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    Used for small derived frames (file fingerprints, manifests) that several
+    branches of one plan read: the expensive input (hashing every byte) runs
+    once, and a lost executor re-reads the checkpoint instead of recomputing.
+    """
+    shared_dir(spark or df.sparkSession)
+    return df.checkpoint(eager=True)
