@@ -425,6 +425,17 @@ def q_backfill_status(spark, sf_dir):
     return quality.backfill_status(requested, outcomes, ["day"])
 
 
+def q_backfill_summary(spark, sf_dir):
+    return quality.backfill_summary(q_backfill_status(spark, sf_dir)).select(
+        F.col("attempted").cast("bigint").alias("attempted"), F.col("failed").cast("bigint").alias("failed"))
+
+
+def q_completeness_check(spark, sf_dir):
+    gaps = _event_gaps(spark, sf_dir)
+    return quality.completeness_result(gaps, "check-" + SWEEP_AS_OF[:10], SWEEP_AS_OF).select(
+        "run_id", "check_name", "status", "detail")
+
+
 # ---------------------------------------------------------------- reads
 
 def q_read_daily(spark, sf_dir):
@@ -586,6 +597,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "freshness_sweep_result": q_freshness_sweep_result,
     "run_accounting": q_run_accounting,
     "backfill_status": q_backfill_status,
+    "backfill_summary": q_backfill_summary,
+    "completeness_check": q_completeness_check,
     "read_daily": q_read_daily,
     "read_history": q_read_history,
     "read_interval": q_read_interval,
@@ -723,6 +736,17 @@ SELECT r.day, CAST(coalesce(a.records_accepted, 0) AS BIGINT) AS records_accepte
        CASE WHEN a.records_accepted IS NULL THEN 'source file not available'
             WHEN a.records_accepted = 0 THEN 'no rows accepted' END AS error
 FROM requested r LEFT JOIN acct a USING (day)""",
+    "backfill_summary": "WITH " + ACCOUNTING_CTE + """
+, span AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
+requested AS (SELECT CAST(d AS DATE) AS day FROM span, generate_series(lo, hi + INTERVAL 3 DAY, INTERVAL 1 DAY) g(d))
+SELECT CAST(count(*) AS BIGINT) AS attempted,
+       CAST(count(*) FILTER (WHERE coalesce(a.records_accepted, 0) = 0) AS BIGINT) AS failed
+FROM requested r LEFT JOIN acct a USING (day)""",
+    "completeness_check": "WITH " + GAPS_CTE + """
+SELECT 'check-2024-01-31' AS run_id, 'missing_interval_completeness' AS check_name,
+       CASE WHEN count(*) > 0 THEN 'fail' ELSE 'pass' END AS status,
+       CASE WHEN count(*) > 0 THEN CAST(count(*) AS VARCHAR) || ' gap(s) detected' ELSE 'no gaps detected' END AS detail
+FROM gaps""",
     "read_daily": """
 SELECT event_id, ts, user_id, event_type, value FROM events
 WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-13'

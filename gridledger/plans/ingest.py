@@ -173,6 +173,52 @@ def ingest(store: Store, dataset: Dataset, paths, run_id: str, batch_seq: int,
         raise
 
 
+def _flag_files(store: Store, dataset: Dataset, ok: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """Scan the files listed in ``ok`` (``source_path``, ``landed_seq``), type and flag every row.
+
+    The only driver round trip is the list of file paths (listing metadata).
+    """
+    good_paths = [r[files.FILE_PATH] for r in ok.select(files.FILE_PATH).distinct().collect()]
+    if not good_paths:
+        return None, None
+    file_order = ok.select(F.col(files.FILE_PATH).alias("_fp"), F.col("landed_seq").alias("_file_order"))
+    rows, header_status = _scan(store, dataset, good_paths)
+    rows = rows.join(file_order, rows[files.FILE_PATH] == file_order["_fp"]).drop("_fp")
+    flagged = contracts.flag(dataset.prepare(rows), dataset.contract).persist(StorageLevel.MEMORY_AND_DISK)
+    return flagged, header_status
+
+
+def rebuild(store: Store, dataset: Dataset, run_id: str, as_of: _dt.datetime,
+            write_base: bool = False) -> DataFrame:
+    """Recompute the curated fact from the raw files recorded in the landing manifest.
+
+    Immutable datasets use each name's first (landed) file; versioned ones the
+    latest version per logical name. All files go through one scan, and the
+    keep-last order across files is the landing order, so the result equals
+    replaying every ingest in sequence. With ``write_base`` the result
+    replaces the fact's ``base`` snapshot (partition overwrite).
+    """
+    man = store.read("manifest", dataset.name)
+    if man is None:
+        raise ValueError(f"nothing landed for {dataset.name}")
+    ok = man.filter(F.col("landing_status") != landing.COLLISION)
+    if dataset.landing == "versioned":
+        ok = latest_per_key(ok, ["stem"], ["landed_seq"])
+    else:
+        ok = ok.filter(F.col("landing_status") == landing.LANDED)
+    flagged, _ = _flag_files(store, dataset, ok)
+    if flagged is None:
+        raise ValueError(f"no readable files for {dataset.name}")
+    lineage = [F.lit(as_of).cast("timestamp").alias("ingested_at"), F.lit(run_id).alias("pipeline_run_id")]
+    facts = dataset.finish(contracts.accepted(flagged)) \
+        .select(*dataset.fact_columns, files.FILE_NAME, *lineage) \
+        .withColumn(dataset.date_col, F.to_date(F.col(dataset.date_source)))
+    if write_base:
+        (facts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(dataset.date_col).parquet(store.facts(dataset).base_path))
+    return facts
+
+
 def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch_seq: int,
             as_of: _dt.datetime) -> IngestResult:
     spark = store.spark
@@ -183,17 +229,7 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
     if dataset.landing == "versioned":
         # process only the latest version of each logical name seen in this batch
         ok = latest_per_key(ok, ["stem"], ["landed_seq"])
-    good_paths = [r[files.FILE_PATH] for r in ok.select(files.FILE_PATH).distinct().collect()]
-
-    file_order = ok.select(F.col(files.FILE_PATH).alias("_fp"), F.col("landed_seq").alias("_file_order"))
-    header_status = None
-    if good_paths:
-        rows, header_status = _scan(store, dataset, good_paths)
-        rows = rows.join(file_order, rows[files.FILE_PATH] == file_order["_fp"]).drop("_fp")
-        typed = dataset.prepare(rows)
-        flagged = contracts.flag(typed, dataset.contract).persist(StorageLevel.MEMORY_AND_DISK)
-    else:
-        flagged = None
+    flagged, header_status = _flag_files(store, dataset, ok)
 
     lineage = [F.lit(as_of).cast("timestamp").alias("ingested_at"), F.lit(run_id).alias("pipeline_run_id")]
     if flagged is not None:
