@@ -12,6 +12,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_mean
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -19,7 +21,8 @@ def _c(col) -> Column:
 
 def interval_accuracy(df: DataFrame, keys: Sequence[str], ts_col: str, forecast_col: str,
                       actual_col: str, start=None, end=None, bucket: str = "day",
-                      day_name: str = "day") -> DataFrame:
+                      day_name: str = "day", digits: int | None = None,
+                      ratio_digits: int = 9) -> DataFrame:
     """Per (keys, UTC ``bucket``): count, mean bias, MAE and MAPE (%) over rows with an actual.
 
     * bias  = mean(actual - forecast)
@@ -29,6 +32,10 @@ def interval_accuracy(df: DataFrame, keys: Sequence[str], ts_col: str, forecast_
     ``start``/``end`` (half-open on ``ts_col``) are applied *before* the
     aggregation so they reach the Parquet scan; a filter on the derived day
     column would not push down.
+
+    With ``digits`` the means are exact and reproducible (``functions.exact``):
+    errors in units of ``10**-digits``, percentage ratios in units of
+    ``10**-ratio_digits``; without it they are plain double averages.
     """
     rows = df.filter(_c(actual_col).isNotNull())
     if start is not None:
@@ -38,11 +45,14 @@ def interval_accuracy(df: DataFrame, keys: Sequence[str], ts_col: str, forecast_
     err = _c(actual_col) - _c(forecast_col)
     day = F.date_trunc(bucket, _c(ts_col))
     day = F.to_date(day) if bucket == "day" else day
+    ratio = F.abs(err) / F.nullif(_c(actual_col), F.lit(0))
+    if digits is None:
+        means = [F.avg(err), F.avg(F.abs(err)), F.avg(ratio) * 100]
+    else:
+        means = [exact_mean(err, digits), exact_mean(F.abs(err), digits), exact_mean(ratio, ratio_digits) * 100]
+    names = ["mean_bias", "mean_abs_error", "mean_abs_pct_error"]
     return (rows.groupBy(*keys, day.alias(day_name))
-                .agg(F.count(F.lit(1)).alias("interval_count"),
-                     F.avg(err).alias("mean_bias"),
-                     F.avg(F.abs(err)).alias("mean_abs_error"),
-                     (F.avg(F.abs(err) / F.nullif(_c(actual_col), F.lit(0))) * 100).alias("mean_abs_pct_error")))
+                .agg(F.count(F.lit(1)).alias("interval_count"), *[m.alias(n) for m, n in zip(means, names)]))
 
 
 def latest_capture_accuracy(actual: DataFrame, forecast: DataFrame, actual_key: str,

@@ -7,6 +7,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_mean
 from ..functions.timeparse import parse_datetime, shift_hours, US_DATETIME
 from .keyed import latest_per_key
 
@@ -34,13 +35,15 @@ def dedup_keep_last(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str
 
 def station_day_mean(df: DataFrame, keys: Sequence[str], value_cols: Sequence[str],
                      first_col: str | None = None, order_col: str | None = None,
-                     count_name: str = "readings") -> DataFrame:
+                     count_name: str = "readings", digits: int | None = None) -> DataFrame:
     """Group-level means that skip NULLs, a reading count and a deterministic ``first``.
 
     ``first_col`` is taken from the row with the smallest ``order_col``
     (``min_by``), not from whichever row a task happens to see first.
+    ``digits`` switches the means to the exact, order-independent form.
     """
-    aggs = [F.avg(c).alias(f"avg_{c}") for c in value_cols]
+    mean = F.avg if digits is None else (lambda c: exact_mean(c, digits))
+    aggs = [mean(c).alias(f"avg_{c}") for c in value_cols]
     aggs.append(F.count(F.lit(1)).alias(count_name))
     if first_col:
         aggs.append(F.min_by(F.col(first_col), F.col(order_col or first_col)).alias(f"first_{first_col}"))

@@ -16,8 +16,9 @@ Role mapping (whole tables, no subsets):
 * ``embeddings`` -- documents holding an array of readings.
 
 Computed columns carry the same alias in the Spark form and the SQL form.
-Float averages are rounded to 6 places on both sides (summation order
-differs between engines); DuckDB integer sums/counts are cast to BIGINT.
+Means and sums of measures use the exact, order-independent form
+(``functions.exact``), written identically in SQL, so both engines produce
+bit-identical doubles; DuckDB integer sums/counts are cast to BIGINT.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..functions.exact import exact_mean_sql, exact_sum
 from ..functions.hashing import capture_name, content_sha
 from ..functions.timeparse import US_DATETIME, parse_datetime, parse_iso_instant, shift_hours
 from ..operators import accuracy, contracts, landing, normalize, quality, reads, reconcile, upsert
@@ -48,16 +50,15 @@ OVERLAP_HOURS = 6
 RECONCILE_TOLERANCE = 5.0
 BULK_CAP = 100
 BULK_SPAN_DAYS = 2
+MONEY_DIGITS = 4          # prices and discounts carry 2 decimals each: errors are exact at 4
+RATIO_DIGITS = 9
+VALUE_DIGITS = 4
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _r6(col) -> F.Column:
-    return F.round(F.col(col) if isinstance(col, str) else col, 6)
-
-
 # ---------------------------------------------------------------- accuracy
 
 def _lineitem_roles(spark, sf_dir):
@@ -70,21 +71,21 @@ def _lineitem_roles(spark, sf_dir):
 
 def _accuracy_out(df):
     return df.select("l_returnflag", "day", F.col("interval_count").cast("bigint").alias("interval_count"),
-                     _r6("mean_bias").alias("mean_bias"), _r6("mean_abs_error").alias("mean_abs_error"),
-                     _r6("mean_abs_pct_error").alias("mean_abs_pct_error"))
+                     "mean_bias", "mean_abs_error", "mean_abs_pct_error")
 
 
 def q_forecast_accuracy(spark, sf_dir):
     df = _lineitem_roles(spark, sf_dir)
-    return _accuracy_out(accuracy.interval_accuracy(df, ["l_returnflag"], "l_shipdate", "forecast", "actual"))
+    return _accuracy_out(accuracy.interval_accuracy(df, ["l_returnflag"], "l_shipdate", "forecast", "actual",
+                                                    digits=MONEY_DIGITS, ratio_digits=RATIO_DIGITS))
 
 
 ACCURACY_SQL_BODY = """
   SELECT l_returnflag, CAST(date_trunc('day', l_shipdate) AS DATE) AS day,
          CAST(count(*) AS BIGINT) AS interval_count,
-         round(avg(actual - forecast), 6) AS mean_bias,
-         round(avg(abs(actual - forecast)), 6) AS mean_abs_error,
-         round(avg(abs(actual - forecast) / nullif(actual, 0)) * 100, 6) AS mean_abs_pct_error
+         """ + exact_mean_sql("actual - forecast", 4) + """ AS mean_bias,
+         """ + exact_mean_sql("abs(actual - forecast)", 4) + """ AS mean_abs_error,
+         (""" + exact_mean_sql("abs(actual - forecast) / nullif(actual, 0)", 9) + """) * 100 AS mean_abs_pct_error
   FROM (SELECT l_returnflag, l_shipdate, l_extendedprice AS forecast,
                CASE WHEN l_linestatus = 'O' THEN NULL
                     ELSE l_extendedprice * (1 - l_discount) END AS actual
@@ -99,7 +100,8 @@ def q_read_accuracy(spark, sf_dir):
     lo = F.lit("1996-01-01").cast("date").cast("timestamp_ntz")
     hi = F.lit("1996-04-01").cast("date").cast("timestamp_ntz")
     return _accuracy_out(accuracy.interval_accuracy(df, ["l_returnflag"], "l_shipdate", "forecast", "actual",
-                                                    start=lo, end=hi))
+                                                    start=lo, end=hi, digits=MONEY_DIGITS,
+                                                    ratio_digits=RATIO_DIGITS))
 
 
 def q_latest_capture_accuracy(spark, sf_dir):
@@ -191,8 +193,9 @@ def q_dedup_keep_last(spark, sf_dir):
 
 def q_daily_station_mean(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    m = normalize.station_day_mean(ev, ["day", "event_type"], ["value"], first_col="props", order_col="event_id")
-    return m.select("day", "event_type", _r6("avg_value").alias("avg_value"),
+    m = normalize.station_day_mean(ev, ["day", "event_type"], ["value"], first_col="props", order_col="event_id",
+                                   digits=VALUE_DIGITS)
+    return m.select("day", "event_type", "avg_value",
                     F.col("readings").cast("bigint").alias("readings"), "first_props")
 
 
@@ -533,7 +536,7 @@ def q_snapshot_filter(spark, sf_dir):
 def _family_totals(ev, types):
     return (ev.filter(F.col("event_type").isin(*types))
               .groupBy("user_id", F.to_date("ts").alias("day"))
-              .agg(F.round(F.sum("value"), 6).alias("total")))
+              .agg(exact_sum("value", VALUE_DIGITS).alias("total")))
 
 
 def q_reconcile(spark, sf_dir):
@@ -541,8 +544,7 @@ def q_reconcile(spark, sf_dir):
     left = _family_totals(ev, ["click", "view"])
     right = _family_totals(ev, ["purchase", "signup"])
     r = reconcile.reconcile(left, right, ["user_id", "day"], "total", RECONCILE_TOLERANCE)
-    return r.select("user_id", "day", "left_value", "right_value", _r6("difference").alias("difference"),
-                    "reconcile_status")
+    return r.select("user_id", "day", "left_value", "right_value", "difference", "reconcile_status")
 
 
 # ---------------------------------------------------------------- streaming
@@ -614,6 +616,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+EXACT_SUM_SQL = "CAST(CAST(sum(CAST(floor(value * 10000.0 + 0.5) AS BIGINT)) AS BIGINT) AS DOUBLE) / 10000.0"
+
 HOURLY_DEDUP_SQL = """
 SELECT event_id, user_id, hour, ts, event_type, value FROM (
   SELECT event_id, user_id, date_trunc('hour', ts) AS hour, ts, event_type, value,
@@ -653,7 +657,7 @@ SELECT event_id,
 FROM events""",
     "dedup_keep_last": HOURLY_DEDUP_SQL,
     "daily_station_mean": """
-SELECT CAST(ts AS DATE) AS day, event_type, round(avg(value), 6) AS avg_value,
+SELECT CAST(ts AS DATE) AS day, event_type, """ + exact_mean_sql("value", 4) + """ AS avg_value,
        CAST(count(*) AS BIGINT) AS readings, arg_min(props, event_id) AS first_props
 FROM events GROUP BY CAST(ts AS DATE), event_type""",
     "explode_readings": """
@@ -814,12 +818,12 @@ WHERE event_type = 'view'
   AND TRY_CAST(substr(CAST(ts AS VARCHAR), 1, 10) AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-09'
 ORDER BY event_id LIMIT 500""",
     "reconcile": """
-WITH l AS (SELECT user_id, CAST(ts AS DATE) AS day, round(sum(value), 6) AS total FROM events
+WITH l AS (SELECT user_id, CAST(ts AS DATE) AS day, """ + EXACT_SUM_SQL + """ AS total FROM events
            WHERE event_type IN ('click', 'view') GROUP BY 1, 2),
-r AS (SELECT user_id, CAST(ts AS DATE) AS day, round(sum(value), 6) AS total FROM events
+r AS (SELECT user_id, CAST(ts AS DATE) AS day, """ + EXACT_SUM_SQL + """ AS total FROM events
       WHERE event_type IN ('purchase', 'signup') GROUP BY 1, 2)
 SELECT coalesce(l.user_id, r.user_id) AS user_id, coalesce(l.day, r.day) AS day,
-       l.total AS left_value, r.total AS right_value, round(l.total - r.total, 6) AS difference,
+       l.total AS left_value, r.total AS right_value, l.total - r.total AS difference,
        CASE WHEN r.user_id IS NULL THEN 'only_left' WHEN l.user_id IS NULL THEN 'only_right'
             WHEN abs(l.total - r.total) <= 5.0 THEN 'match' ELSE 'mismatch' END AS reconcile_status
 FROM l FULL JOIN r ON l.user_id = r.user_id AND l.day = r.day""",

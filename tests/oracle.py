@@ -2,8 +2,8 @@
 
 Usage: ``python -m tests.oracle [sf_dir] [key ...]`` (default sf0.01, all keys).
 Comparison mirrors the driver: same row count, same column names, and an
-order-insensitive multiset of rows (floats compared after rounding to 9
-significant digits so engine summation order does not matter).
+order-insensitive multiset of rows, floats compared bit for bit (``--loose``
+compares them to 9 significant digits instead).
 """
 
 from __future__ import annotations
@@ -27,13 +27,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = True   # floats compared bit for bit; --loose compares 9 significant digits
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, dt.datetime):
         if v.tzinfo is not None:
             v = v.astimezone(dt.timezone.utc).replace(tzinfo=None)
@@ -80,6 +83,9 @@ def main(argv):
     sys.path.insert(0, ".")
     from gridledger.session import build_session
     import __spark_entry__ as E
+    global EXACT
+    if argv and argv[0] in ("--exact", "--loose"):
+        EXACT, argv = argv[0] == "--exact", argv[1:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     keys = argv[1:] or list(E.queries())
     spark = build_session("local[8]", 8)
