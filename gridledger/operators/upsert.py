@@ -74,6 +74,18 @@ def append_history(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     return upsert(current, incoming, keys, order_cols)
 
 
+def write_batch(df: DataFrame, path: str, batch_seq: int, partition_cols: Sequence[str] = ()) -> None:
+    """Idempotent batch write: rows land in ``<partitions>/_batch_seq=<n>`` directories.
+
+    Dynamic partition overwrite replaces exactly the partitions this batch
+    writes, so re-running a batch after a crash replaces its earlier partial
+    output instead of appending a second copy; other batches are untouched.
+    """
+    (df.withColumn(BATCH_SEQ, F.lit(int(batch_seq)).cast("bigint"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*partition_cols, BATCH_SEQ).parquet(path))
+
+
 class ChangeLog:
     """Append-only change log of one fact under ``root`` (a shared path)."""
 
@@ -92,12 +104,15 @@ class ChangeLog:
         return f"{self.root}/base"
 
     def append(self, batch: DataFrame, batch_seq: int, order_cols: Sequence[str] | None = None) -> None:
-        """Write one batch; in-batch duplicates resolve keep-last before writing."""
+        """Write one batch; in-batch duplicates resolve keep-last before writing.
+
+        Re-running the same ``batch_seq`` replaces that batch's files (see
+        ``write_batch``), so a retried batch never doubles its rows.
+        """
         if order_cols:
             batch = latest_per_key(batch, self.keys, order_cols)
-        (batch.withColumn(BATCH_SEQ, F.lit(int(batch_seq)).cast("bigint"))
-              .withColumn(ROW_SEQ, F.monotonically_increasing_id())
-              .write.mode("append").partitionBy(self.date_col).parquet(self.log_path))
+        write_batch(batch.withColumn(ROW_SEQ, F.monotonically_increasing_id()), self.log_path, batch_seq,
+                    [self.date_col])
 
     def _exists(self, path: str) -> bool:
         jvm = self.spark.sparkContext._jvm

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from ..functions.hashing import capture_name
 from ..operators import contracts, landing, quality
 from ..operators.keyed import latest_per_key
-from ..operators.upsert import BATCH_SEQ, ChangeLog
+from ..operators.upsert import BATCH_SEQ, ChangeLog, write_batch
 from ..session import materialize
 from ..sources import files
 from .datasets import Dataset
@@ -130,6 +130,8 @@ def land(store: Store, dataset: Dataset, paths, batch_seq: int) -> DataFrame:
     previous = store.read("manifest", dataset.name)
     everything = incoming.select(*cols)
     if previous is not None:
+        # an earlier, interrupted attempt of this same batch is not "previous"
+        previous = previous.filter(F.col(BATCH_SEQ) != int(batch_seq))
         everything = previous.select(*cols).unionByName(everything)
     if dataset.landing in ("immutable", "capture"):
         classified = landing.classify_immutable(everything, "name", "content_sha", "landed_seq")
@@ -223,7 +225,7 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
             as_of: _dt.datetime) -> IngestResult:
     spark = store.spark
     landed = land(store, dataset, paths, batch_seq).persist(StorageLevel.MEMORY_AND_DISK)
-    landed.write.mode("append").parquet(store.path("manifest", dataset.name))
+    write_batch(landed, store.path("manifest", dataset.name), batch_seq)
 
     ok = landed.filter(F.col("landing_status") != landing.COLLISION)
     if dataset.landing == "versioned":
@@ -236,12 +238,12 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
         rejected = contracts.rejected(flagged).select(
             *[c for c in flagged.columns if not c.startswith("_")],
             F.lit(as_of).cast("timestamp").alias("quarantined_at"), F.lit(run_id).alias("pipeline_run_id"))
-        rejected.write.mode("append").parquet(store.path("quarantine", dataset.name))
+        write_batch(rejected, store.path("quarantine", dataset.name), batch_seq)
         facts = dataset.finish(contracts.accepted(flagged))
         facts = facts.select(*dataset.fact_columns, files.FILE_NAME, *lineage) \
                      .withColumn(dataset.date_col, F.to_date(F.col(dataset.date_source)))
         facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
-        facts.write.mode("append").partitionBy(dataset.date_col).parquet(store.path("normalized", dataset.name))
+        write_batch(facts, store.path("normalized", dataset.name), batch_seq, [dataset.date_col])
         store.facts(dataset).append(facts, batch_seq)
         counts = flagged.agg(F.count(F.lit(1)).alias("n"),
                              F.count_if(F.col(contracts.REASON).isNotNull()).alias("bad")).first()
@@ -260,7 +262,7 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
     fstat = fstat.select(F.lit(run_id).alias("run_id"), F.lit(dataset.name).alias("source"), "*",
                          F.when(F.col("landing_error").isNotNull() | F.col("header_error").isNotNull(),
                                 F.lit(quality.FAILED)).otherwise(F.lit(quality.SUCCESS)).alias("file_status"))
-    fstat.write.mode("append").parquet(store.path("ledger", "files"))
+    write_batch(fstat, store.path("ledger", "files"), batch_seq)
     fcount = fstat.agg(F.count(F.lit(1)).alias("n"),
                        F.count_if(F.col("file_status") == quality.FAILED).alias("failed")).first()
 
@@ -271,8 +273,7 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
             spark.createDataFrame([(int(batch_seq),)], f"{BATCH_SEQ} bigint"))
         cur = store.facts(dataset).current(committed)
         gaps = quality.detect_gaps(cur, ["baa"], "interval_start_utc", 3600)
-        quality.completeness_result(gaps, run_id, as_of).write.mode("append") \
-               .parquet(store.path("ledger", "checks"))
+        write_batch(quality.completeness_result(gaps, run_id, as_of), store.path("ledger", "checks"), batch_seq)
 
     status = quality.SUCCESS if (int(fcount["n"]) > int(fcount["failed"])) else quality.FAILED
     watermark = as_of.date().isoformat()

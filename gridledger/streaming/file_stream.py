@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rules import null_tokens_to_null
 from ..operators import contracts, quality
-from ..operators.upsert import BATCH_SEQ, ChangeLog
+from ..operators.upsert import BATCH_SEQ, ChangeLog, write_batch
 from ..plans.datasets import Dataset
 from ..plans.ingest import RUN_SCHEMA, Store
 from ..sources import files
@@ -56,8 +56,8 @@ def upsert_batches(store: Store, source: str, keys: Sequence[str], date_col: str
         if contract is not None:
             flagged = contracts.flag(rows, contract).persist()
             rejected = contracts.rejected(flagged)
-            rejected.select(*[c for c in rejected.columns if not c.startswith("_")]) \
-                    .write.mode("append").parquet(store.path("quarantine", source))
+            write_batch(rejected.select(*[c for c in rejected.columns if not c.startswith("_")]),
+                        store.path("quarantine", source), seq)
             n_bad = rejected.count()
             rows = contracts.accepted(flagged)
         if finish is not None:

@@ -255,3 +255,17 @@ def test_rebuild_from_raw_equals_replayed_ingests(spark, store, tmp_path):
     got = sorted(tuple(r) for r in rebuild(store, DAILY, "rb", AS_OF, write_base=True).select(*cols).collect())
     assert got == want and len(got) == 3
     assert store.facts(DAILY).base().count() == 3
+
+
+def test_retrying_a_batch_is_idempotent(spark, store, tmp_path):
+    """A crashed run retried under the same batch number replaces its partial output."""
+    rows = _load_rows(24, 24)
+    bad = rows + [rows[0][:4] + ("XYZ",)]
+    p = _write_csv(tmp_path / "f.csv", bad)
+    ingest(store, LOAD, [p], "run-1", 7, AS_OF)
+    ingest(store, LOAD, [p], "run-1b", 7, AS_OF)          # same batch again
+    assert store.current_facts(LOAD).count() == 48
+    assert store.facts(LOAD).log().count() == 48
+    assert spark.read.parquet(store.path("quarantine", LOAD.name)).count() == 1
+    man = spark.read.parquet(store.path("manifest", LOAD.name))
+    assert man.count() == 1 and man.first()["landing_status"] == "landed"
