@@ -75,15 +75,19 @@ def append_history(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 
 def write_batch(df: DataFrame, path: str, batch_seq: int, partition_cols: Sequence[str] = ()) -> None:
-    """Idempotent batch write: rows land in ``<partitions>/_batch_seq=<n>`` directories.
+    """Idempotent batch write into ``<path>/_batch_seq=<n>/<partitions>``.
 
-    Dynamic partition overwrite replaces exactly the partitions this batch
-    writes, so re-running a batch after a crash replaces its earlier partial
-    output instead of appending a second copy; other batches are untouched.
+    Each batch owns one directory, written with a plain overwrite of that
+    directory: re-running a batch after a crash replaces its earlier partial
+    output instead of appending a second copy, and other batches are never
+    touched. Reading ``<path>`` discovers ``_batch_seq`` (and the inner
+    partition columns) as partition columns, so filters on them prune.
     """
-    (df.withColumn(BATCH_SEQ, F.lit(int(batch_seq)).cast("bigint"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols, BATCH_SEQ).parquet(path))
+    target = f"{path.rstrip('/')}/{BATCH_SEQ}={int(batch_seq)}"
+    writer = df.drop(BATCH_SEQ).write.mode("overwrite")
+    if partition_cols:
+        writer = writer.partitionBy(*partition_cols)
+    writer.parquet(target)
 
 
 class ChangeLog:

@@ -62,9 +62,12 @@ def upsert_batches(store: Store, source: str, keys: Sequence[str], date_col: str
             rows = contracts.accepted(flagged)
         if finish is not None:
             rows = finish(rows)
-        n_in = rows.count() + n_bad
         log.append(rows, seq, order_cols=order_cols)
-        n_keys = rows.select(*keys).distinct().count()
+        # one aggregate for both counts: rows accepted and distinct keys written
+        stats = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                     .agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k")).first())
+        n_in = int(stats["n"] or 0) + n_bad
+        n_keys = int(stats["k"] or 0)
         row = {f.name: None for f in RUN_SCHEMA.fields}
         row.update(run_id=f"{source}-stream-{seq}", source=source, **{BATCH_SEQ: seq}, started_at=as_of,
                    finished_at=as_of, status=quality.SUCCESS, records_in=n_in, records_accepted=n_keys,
