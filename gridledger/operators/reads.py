@@ -24,6 +24,7 @@ INVALID_RANGE = "invalid_date_range"
 RANGE_TOO_LARGE = "date_range_too_large"
 UNKNOWN_KEY = "unknown_key"
 QUALITY_STATUS = "quarantine_excluded"
+LIMITATION = "Curated data only -- quarantined/rejected records are never included."
 
 
 def _c(col) -> Column:
@@ -134,8 +135,10 @@ def bulk_read(requests: DataFrame, facts: DataFrame, rid_col: str, req_key_col:
 
 
 def read_envelope(requests: DataFrame, facts: DataFrame, rid_col: str, req_key_col: str,
-                  fact_key_col: str, ts_col: str, cap: int = MAX_ROWS, source: str = "facts") -> DataFrame:
-    """One provenance row per request: status, period, count, first/last timestamp, truncated.
+                  fact_key_col: str, ts_col: str, cap: int = MAX_ROWS, source: str = "facts",
+                  generated_at=None) -> DataFrame:
+    """One provenance row per request: source, status, period, count, first/last timestamp,
+    truncated, quality status, answer time (``generated_at``, passed in) and known limitations.
 
     Invalid requests still get a row (count 0) carrying their rejection reason.
     Built from per-(key, day) fact statistics: the facts are aggregated once,
@@ -149,7 +152,9 @@ def read_envelope(requests: DataFrame, facts: DataFrame, rid_col: str, req_key_c
                       F.least(n, F.lit(int(cap)).cast("bigint")).alias("record_count"),
                       n.alias("matched_rows"), "first_ts", "last_ts",
                       (n > F.lit(int(cap))).alias("truncated"),
-                      F.when(F.col("request_status") == OK, F.lit(QUALITY_STATUS)).alias("quality_status"))
+                      F.when(F.col("request_status") == OK, F.lit(QUALITY_STATUS)).alias("quality_status"),
+                      F.lit(generated_at).cast("timestamp").alias("ingestion_timestamp"),
+                      F.array(F.lit(LIMITATION)).alias("known_limitations"))
 
 
 def trailing_window(df: DataFrame, date_col, as_of, days: int) -> DataFrame:

@@ -74,7 +74,8 @@ def append_history(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     return upsert(current, incoming, keys, order_cols)
 
 
-def write_batch(df: DataFrame, path: str, batch_seq: int, partition_cols: Sequence[str] = ()) -> None:
+def write_batch(df: DataFrame, path: str, batch_seq: int, partition_cols: Sequence[str] = (),
+                scope: str | None = None) -> None:
     """Idempotent batch write into ``<path>/_batch_seq=<n>/<partitions>``.
 
     Each batch owns one directory, written with a plain overwrite of that
@@ -82,9 +83,12 @@ def write_batch(df: DataFrame, path: str, batch_seq: int, partition_cols: Sequen
     output instead of appending a second copy, and other batches are never
     touched. Reading ``<path>`` discovers ``_batch_seq`` (and the inner
     partition columns) as partition columns, so filters on them prune.
+    ``scope`` adds a ``source=<scope>`` level for tables shared by several
+    writers (check results, file status) whose batch numbers are independent.
     """
-    target = f"{path.rstrip('/')}/{BATCH_SEQ}={int(batch_seq)}"
-    writer = df.drop(BATCH_SEQ).write.mode("overwrite")
+    base = path.rstrip("/") + (f"/source={scope}" if scope else "")
+    target = f"{base}/{BATCH_SEQ}={int(batch_seq)}"
+    writer = df.drop(BATCH_SEQ, *(["source"] if scope else [])).write.mode("overwrite")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(target)

@@ -41,6 +41,7 @@ class Dataset:
     prepare: Callable[[DataFrame], DataFrame]  # raw scan -> typed rows the rules inspect
     finish: Callable[[DataFrame], DataFrame]   # accepted rows -> fact rows (dedup/aggregate)
     landing: str = "versioned"                 # "immutable" | "versioned" | "capture"
+    watermark: str = "run"                     # "data": latest event date loaded; "run": run date
     json_schema: T.StructType | None = None
     explode: str | None = None                 # array column flattened after the scan
     parents: tuple[str, ...] = ()
@@ -90,6 +91,7 @@ LOAD = Dataset(
     prepare=_load_prepare,
     finish=_load_finish,
     landing="immutable",
+    watermark="data",
 )
 
 

@@ -492,7 +492,7 @@ def q_bulk_read(spark, sf_dir):
 def q_read_envelope(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     return reads.read_envelope(_bulk_requests(spark, sf_dir), ev, "rid", "key", "event_type", "ts",
-                               cap=BULK_CAP, source="events")
+                               cap=BULK_CAP, source="events", generated_at=SWEEP_AS_OF)
 
 
 BULK_REQ_CTE = """
@@ -798,7 +798,9 @@ SELECT g.rid, 'events' AS source, g.request_status, g.start_date, g.end_date,
        CAST(least(coalesce(s.n, 0), 100) AS BIGINT) AS record_count,
        CAST(coalesce(s.n, 0) AS BIGINT) AS matched_rows, s.first_ts, s.last_ts,
        coalesce(s.n, 0) > 100 AS truncated,
-       CASE WHEN g.request_status = 'ok' THEN 'quarantine_excluded' END AS quality_status
+       CASE WHEN g.request_status = 'ok' THEN 'quarantine_excluded' END AS quality_status,
+       TIMESTAMP '2024-01-31 00:00:00' AS ingestion_timestamp,
+       ['Curated data only -- quarantined/rejected records are never included.'] AS known_limitations
 FROM guarded g LEFT JOIN stats s USING (rid)""",
     "stream_upsert": """
 SELECT user_id, hour, event_id, value FROM (

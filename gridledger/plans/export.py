@@ -22,7 +22,7 @@ from .ingest import Store
 HISTORY_WINDOW_DAYS = 90
 FORECAST_WINDOW_DAYS = 14
 QUALITY_ROWS = 100
-LIMITATIONS = "Curated data only -- quarantined/rejected records are never included."
+LIMITATIONS = reads.LIMITATION
 
 
 def _write(df: DataFrame, out_dir: str, name: str, source: str, as_of) -> None:

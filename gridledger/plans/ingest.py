@@ -38,6 +38,8 @@ from ..session import materialize
 from ..sources import files
 from .datasets import Dataset
 
+PARTIAL = "partial"
+
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("source", T.StringType(), False),
@@ -161,12 +163,17 @@ def _scan(store: Store, dataset: Dataset, good_paths: list[str]) -> tuple[DataFr
 
 
 def ingest(store: Store, dataset: Dataset, paths, run_id: str, batch_seq: int,
-           as_of: _dt.datetime) -> IngestResult:
-    """Run the whole ingest for ``paths``; always records a ledger row (success or failure)."""
+           as_of: _dt.datetime, partial_on_rejects: bool = False) -> IngestResult:
+    """Run the whole ingest for ``paths``; always records a ledger row (success or failure).
+
+    Status: ``success``; ``failed`` when no file could be loaded; with
+    ``partial_on_rejects``, ``partial`` when rows were quarantined or some
+    files failed while others loaded (off by default, as in the reference).
+    """
     spark = store.spark
     started = as_of
     try:
-        return _ingest(store, dataset, list(paths), run_id, batch_seq, as_of)
+        return _ingest(store, dataset, list(paths), run_id, batch_seq, as_of, partial_on_rejects)
     except Exception as exc:  # noqa: BLE001 -- the failure is recorded, then re-raised
         row = {f.name: None for f in RUN_SCHEMA.fields}
         row.update(run_id=run_id, source=dataset.name, **{BATCH_SEQ: int(batch_seq)}, started_at=started,
@@ -222,7 +229,7 @@ def rebuild(store: Store, dataset: Dataset, run_id: str, as_of: _dt.datetime,
 
 
 def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch_seq: int,
-            as_of: _dt.datetime) -> IngestResult:
+            as_of: _dt.datetime, partial_on_rejects: bool = False) -> IngestResult:
     spark = store.spark
     landed = land(store, dataset, paths, batch_seq).persist(StorageLevel.MEMORY_AND_DISK)
     write_batch(landed, store.path("manifest", dataset.name), batch_seq)
@@ -247,11 +254,15 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
         store.facts(dataset).append(facts, batch_seq)
         counts = flagged.agg(F.count(F.lit(1)).alias("n"),
                              F.count_if(F.col(contracts.REASON).isNotNull()).alias("bad")).first()
-        n_facts = facts.count()
+        fact_stats = facts.agg(F.count(F.lit(1)).alias("n"),
+                               F.max(F.to_date(F.col(dataset.date_source))).alias("latest")).first()
+        n_facts = int(fact_stats["n"])
+        latest_day = fact_stats["latest"]
         n_in, n_bad = int(counts["n"]), int(counts["bad"])
     else:
         rejected = facts = None
         n_in = n_bad = n_facts = 0
+        latest_day = None
 
     # per-file status: landing collisions and header failures fail the file, the rest load
     fstat = landed.select(files.FILE_PATH, files.FILE_NAME, "landing_status", "landing_error")
@@ -262,7 +273,7 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
     fstat = fstat.select(F.lit(run_id).alias("run_id"), F.lit(dataset.name).alias("source"), "*",
                          F.when(F.col("landing_error").isNotNull() | F.col("header_error").isNotNull(),
                                 F.lit(quality.FAILED)).otherwise(F.lit(quality.SUCCESS)).alias("file_status"))
-    write_batch(fstat, store.path("ledger", "files"), batch_seq)
+    write_batch(fstat, store.path("ledger", "files"), batch_seq, scope=dataset.name)
     fcount = fstat.agg(F.count(F.lit(1)).alias("n"),
                        F.count_if(F.col("file_status") == quality.FAILED).alias("failed")).first()
 
@@ -273,10 +284,17 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
             spark.createDataFrame([(int(batch_seq),)], f"{BATCH_SEQ} bigint"))
         cur = store.facts(dataset).current(committed)
         gaps = quality.detect_gaps(cur, ["baa"], "interval_start_utc", 3600)
-        write_batch(quality.completeness_result(gaps, run_id, as_of), store.path("ledger", "checks"), batch_seq)
-
-    status = quality.SUCCESS if (int(fcount["n"]) > int(fcount["failed"])) else quality.FAILED
-    watermark = as_of.date().isoformat()
+        write_batch(quality.completeness_result(gaps, run_id, as_of), store.path("ledger", "checks"), batch_seq,
+                    scope=dataset.name)
+
+    loaded_any = int(fcount["n"]) > int(fcount["failed"])
+    status = quality.SUCCESS if loaded_any else quality.FAILED
+    if loaded_any and partial_on_rejects and (n_bad > 0 or int(fcount["failed"]) > 0):
+        status = PARTIAL
+    if dataset.watermark == "data":
+        watermark = latest_day.isoformat() if latest_day is not None else None
+    else:
+        watermark = as_of.date().isoformat()
     run_row = {
         "run_id": run_id, "source": dataset.name, BATCH_SEQ: int(batch_seq), "started_at": as_of,
         "finished_at": as_of, "status": status, "files_in": int(fcount["n"]),

@@ -269,3 +269,32 @@ def test_retrying_a_batch_is_idempotent(spark, store, tmp_path):
     assert spark.read.parquet(store.path("quarantine", LOAD.name)).count() == 1
     man = spark.read.parquet(store.path("manifest", LOAD.name))
     assert man.count() == 1 and man.first()["landing_status"] == "landed"
+
+
+def test_quality_sweep_records_checks_and_its_own_run(spark, store, tmp_path):
+    from gridledger.plans.sweep import run_quality_sweep
+    hours = [h for h in range(48) if h != 20]
+    rows = [r for r in _load_rows(48, 48)
+            if not (r[4] == "SPP" and r[1] == (END0 + dt.timedelta(hours=20)).strftime("%m/%d/%Y %H:%M:%S"))]
+    assert len(rows) == 95 and len(hours) == 47
+    ingest(store, LOAD, [_write_csv(tmp_path / "g.csv", rows)], "run-1", 1, AS_OF)
+    fresh = {r["check_name"]: (r["status"], r["detail"]) for r in
+             run_quality_sweep(store, "sw-1", 1, AS_OF + dt.timedelta(hours=1)).collect()}
+    assert fresh == {"missing_interval_completeness": ("fail", "1 gap(s) detected"),
+                     "source_freshness_sweep": ("pass", "all sources fresh")}
+    late = {r["check_name"]: r["detail"] for r in
+            run_quality_sweep(store, "sw-2", 2, AS_OF + dt.timedelta(hours=30)).collect()}
+    assert late["source_freshness_sweep"] == "1 stale/failing source(s)"
+    sweeps = store.runs().filter(F.col("source") == "quality_sweep").collect()
+    assert sorted(r["status"] for r in sweeps) == ["success", "success"]
+    # the load run's watermark is the latest event date it loaded
+    load_run = store.runs().filter(F.col("source") == "spp_load").first()
+    assert load_run["watermark_after"] == "2026-07-16"
+
+
+def test_partial_status_when_rows_are_quarantined(spark, store, tmp_path):
+    rows = _load_rows(4, 4)
+    p = _write_csv(tmp_path / "p.csv", rows + [rows[0][:4] + ("XYZ",)])
+    run = ingest(store, LOAD, [p], "run-1", 1, AS_OF, partial_on_rejects=True).run.first()
+    assert run["status"] == "partial" and run["records_quarantined"] == 1
+    assert store.current_facts(LOAD).count() == 8
