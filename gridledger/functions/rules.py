@@ -98,5 +98,15 @@ def reason_column(rules: Iterable[Rule]) -> Column:
     when its failure predicate is TRUE.
     """
     rules = list(rules)
-    joined = F.concat_ws("; ", *[F.when(r.failure(), F.lit(r.rule_id)) for r in rules])
-    return F.when(joined == "", F.lit(None).cast("string")).otherwise(joined)
+    return F.nullif(F.concat_ws("; ", *[F.when(r.failure(), F.lit(r.rule_id)) for r in rules]), F.lit(""))
+
+
+def any_failure(rules: Iterable[Rule]) -> Column:
+    """TRUE when at least one rule fails: the cheap predicate used to split rows."""
+    preds = [r.failure() for r in rules]
+    if not preds:
+        return F.lit(False)
+    out = preds[0]
+    for p in preds[1:]:
+        out = out | p
+    return out

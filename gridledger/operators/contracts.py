@@ -16,9 +16,10 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import Rule, reason_column
+from ..functions.rules import Rule, any_failure, reason_column
 
 REASON = "rejection_reason"
+REJECTED = "_rejected"
 
 
 @dataclass(frozen=True)
@@ -34,15 +35,21 @@ class Contract:
 
 
 def flag(df: DataFrame, contract: Contract, reason_col: str = REASON) -> DataFrame:
-    return df.withColumn(reason_col, contract.reason())
+    """Add the reason string and a boolean ``_rejected`` (OR of the rule predicates).
+
+    The split filters on the boolean: when Catalyst pushes that filter below the
+    projection it inlines a few comparisons, not the reason-string construction.
+    """
+    return (df.withColumn(reason_col, contract.reason())
+              .withColumn(REJECTED, any_failure(contract.rules)))
 
 
 def accepted(flagged: DataFrame, reason_col: str = REASON) -> DataFrame:
-    return flagged.filter(F.col(reason_col).isNull()).drop(reason_col)
+    return flagged.filter(~F.col(REJECTED)).drop(reason_col, REJECTED)
 
 
 def rejected(flagged: DataFrame, reason_col: str = REASON) -> DataFrame:
-    return flagged.filter(F.col(reason_col).isNotNull())
+    return flagged.filter(F.col(REJECTED)).drop(REJECTED)
 
 
 def split(df: DataFrame, contract: Contract, reason_col: str = REASON,
