@@ -25,6 +25,11 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only what has been measured: no broadcast from plan-time size
+    # estimates; AQE converts a join to broadcast once the completed shuffle
+    # stage of a side has been measured under this bound.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -55,7 +60,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_sql_settings(spark: SparkSession) -> None:
     """Pin the runtime SQL settings on a session someone else created."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.adaptive.skewJoin.enabled",
+              "spark.sql.adaptive.skewJoin.enabled", "spark.sql.autoBroadcastJoinThreshold",
+              "spark.sql.adaptive.autoBroadcastJoinThreshold",
               "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(k, SESSION_DEFAULTS[k])
 
