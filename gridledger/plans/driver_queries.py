@@ -184,7 +184,8 @@ def q_interval_normalize(spark, sf_dir):
 
 
 def _hourly(ev):
-    return ev.select("event_id", "user_id", F.date_trunc("hour", "ts").alias("hour"), "ts", "event_type", "value")
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")   # zone-free like the source column
+    return ev.select("event_id", "user_id", hour.alias("hour"), "ts", "event_type", "value")
 
 
 def q_dedup_keep_last(spark, sf_dir):
@@ -493,8 +494,10 @@ def q_bulk_read(spark, sf_dir):
 
 def q_read_envelope(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
-    return reads.read_envelope(_bulk_requests(spark, sf_dir), ev, "rid", "key", "event_type", "ts",
-                               cap=BULK_CAP, source="events", generated_at=SWEEP_AS_OF)
+    env = reads.read_envelope(_bulk_requests(spark, sf_dir), ev, "rid", "key", "event_type", "ts",
+                              cap=BULK_CAP, source="events", generated_at=SWEEP_AS_OF)
+    # registered outputs carry zone-free timestamps, so a client in any time zone reads the same values
+    return env.withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp_ntz"))
 
 
 BULK_REQ_CTE = """
@@ -560,7 +563,7 @@ def q_stream_upsert(spark, sf_dir):
     store = Store(spark, scratch_path(spark, "stream-upsert"))
 
     def project(batch):
-        return batch.select("user_id", F.date_trunc("hour", "ts").alias("hour"), "event_id", "value",
+        return batch.select("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "event_id", "value",
                             F.to_date("ts").alias("event_date"))
     q = stream_table_upsert(store, f"{sf_dir.rstrip('/')}/events.parquet", "events", ["user_id", "hour"],
                             "event_date", project, ["event_id"], store.path("_checkpoint"),

@@ -15,14 +15,29 @@ def _plan(df) -> str:
 
 
 @pytest.fixture(scope="module")
-def plans(spark):
+def built(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")   # untruncated PushedFilters
     try:
-        return {k: _plan(fn(spark, SF)) for k, fn in E.queries().items()}
+        out = {}
+        for k, fn in E.queries().items():
+            df = fn(spark, SF)
+            out[k] = (_plan(df), df.schema)
+        return out
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
+@pytest.fixture(scope="module")
+def plans(built):
+    return {k: v[0] for k, v in built.items()}
+
+
+def test_registered_outputs_are_zone_free(built):
+    from pyspark.sql.types import TimestampType
+    for k, (_, schema) in built.items():
+        assert not [f.name for f in schema.fields if isinstance(f.dataType, TimestampType)], k
+
+
 def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
