@@ -226,7 +226,7 @@ def q_scan_csv(spark, sf_dir):
     out = scratch_path(spark, "scan-csv")
     _events_as_text(_t(spark, sf_dir, "events")).write.option("header", True).csv(out)
     contract = contracts.Contract("events_csv", tuple(EVENT_COLUMNS), (), strict=True)
-    rows, _status = files.scan_checked_csv(spark, [out], contract)
+    rows, _status, _scan = files.scan_checked_csv(spark, [out], contract)
     return _typed_events(rows)
 
 

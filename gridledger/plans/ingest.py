@@ -146,12 +146,14 @@ def land(store: Store, dataset: Dataset, paths, batch_seq: int) -> DataFrame:
                        *(["version_name", "stem"] if dataset.landing == "versioned" else []))
 
 
-def _scan(store: Store, dataset: Dataset, good_paths: list[str]) -> tuple[DataFrame, DataFrame | None]:
+def _scan(store: Store, dataset: Dataset, good_paths: list[str]) -> tuple[DataFrame, DataFrame | None,
+                                                                          DataFrame | None]:
     spark = store.spark
     if dataset.fmt == "csv":
-        rows, header_status = files.scan_checked_csv(spark, good_paths, dataset.contract)
+        # the positional scan stays cached until the run has written its outputs
+        rows, header_status, scan_cache = files.scan_checked_csv(spark, good_paths, dataset.contract)
         rows = rows.withColumnRenamed(files.LINE_ORDER, "_line_order")
-        return rows, header_status
+        return rows, header_status, scan_cache
     docs = files.scan_json(spark, good_paths, dataset.json_schema)
     if dataset.explode:
         flat = docs.select(*dataset.parents, files.FILE_PATH, files.FILE_NAME,
@@ -159,7 +161,7 @@ def _scan(store: Store, dataset: Dataset, good_paths: list[str]) -> tuple[DataFr
         rows = flat.select(*dataset.parents, files.FILE_PATH, files.FILE_NAME, "_line_order", "_elem.*")
     else:
         rows = docs.withColumn("_line_order", F.lit(0))
-    return rows, None
+    return rows, None, None
 
 
 def ingest(store: Store, dataset: Dataset, paths, run_id: str, batch_seq: int,
@@ -182,19 +184,20 @@ def ingest(store: Store, dataset: Dataset, paths, run_id: str, batch_seq: int,
         raise
 
 
-def _flag_files(store: Store, dataset: Dataset, ok: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+def _flag_files(store: Store, dataset: Dataset, ok: DataFrame) -> tuple[DataFrame | None, DataFrame | None,
+                                                                         DataFrame | None]:
     """Scan the files listed in ``ok`` (``source_path``, ``landed_seq``), type and flag every row.
 
     The only driver round trip is the list of file paths (listing metadata).
     """
     good_paths = [r[files.FILE_PATH] for r in ok.select(files.FILE_PATH).distinct().collect()]
     if not good_paths:
-        return None, None
+        return None, None, None
     file_order = ok.select(F.col(files.FILE_PATH).alias("_fp"), F.col("landed_seq").alias("_file_order"))
-    rows, header_status = _scan(store, dataset, good_paths)
+    rows, header_status, scan_cache = _scan(store, dataset, good_paths)
     rows = rows.join(file_order, rows[files.FILE_PATH] == file_order["_fp"]).drop("_fp")
     flagged = contracts.flag(dataset.prepare(rows), dataset.contract).persist(StorageLevel.MEMORY_AND_DISK)
-    return flagged, header_status
+    return flagged, header_status, scan_cache
 
 
 def rebuild(store: Store, dataset: Dataset, run_id: str, as_of: _dt.datetime,
@@ -215,7 +218,7 @@ def rebuild(store: Store, dataset: Dataset, run_id: str, as_of: _dt.datetime,
         ok = latest_per_key(ok, ["stem"], ["landed_seq"])
     else:
         ok = ok.filter(F.col("landing_status") == landing.LANDED)
-    flagged, _ = _flag_files(store, dataset, ok)
+    flagged, _, _ = _flag_files(store, dataset, ok)
     if flagged is None:
         raise ValueError(f"no readable files for {dataset.name}")
     lineage = [F.lit(as_of).cast("timestamp").alias("ingested_at"), F.lit(run_id).alias("pipeline_run_id")]
@@ -238,7 +241,7 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
     if dataset.landing == "versioned":
         # process only the latest version of each logical name seen in this batch
         ok = latest_per_key(ok, ["stem"], ["landed_seq"])
-    flagged, header_status = _flag_files(store, dataset, ok)
+    flagged, header_status, scan_cache = _flag_files(store, dataset, ok)
 
     lineage = [F.lit(as_of).cast("timestamp").alias("ingested_at"), F.lit(run_id).alias("pipeline_run_id")]
     if flagged is not None:
@@ -304,9 +307,9 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
     }
     run = spark.createDataFrame([run_row], RUN_SCHEMA)
     run.write.mode("append").parquet(store.path("ledger", "runs"))   # commit marker, written last
-    if flagged is not None:
-        flagged.unpersist()
-    landed.unpersist()
+    for cached in (flagged, scan_cache, landed):
+        if cached is not None:
+            cached.unpersist()
     empty = spark.createDataFrame([], T.StructType([]))
     return IngestResult(run=run, files=fstat, accepted=facts if facts is not None else empty,
                         rejected=rejected if rejected is not None else empty)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,34 +31,6 @@ def _file_name(path_col) -> F.Column:
     return F.regexp_extract(path_col, r"([^/]+)$", 1)
 
 
-def csv_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """First line of every file, split into column names: ``(source_path, header)``.
-
-    Only rows from each file's first split are considered and the first line
-    is the ``min_by`` over the scan order, a map-side-combined aggregate: one
-    row per file crosses the shuffle, whatever the file sizes.
-    """
-    lines = (spark.read.text(list(paths))
-             .select("value", F.col("_metadata.file_path").alias(FILE_PATH),
-                     F.col("_metadata.file_block_start").alias("_blk"),
-                     F.monotonically_increasing_id().alias("_id")))
-    first = (lines.filter(F.col("_blk") == 0).groupBy(FILE_PATH)
-                  .agg(F.min_by("value", "_id").alias("header_line")))
-    cleaned = F.regexp_replace(F.col("header_line"), "^﻿", "")
-    names = F.transform(F.split(cleaned, ","), lambda x: F.trim(F.regexp_replace(x, '^"|"$', "")))
-    return first.withColumn("header", names).drop("header_line")
-
-
-def classify_csv_files(spark: SparkSession, paths: Sequence[str], contract: Contract) -> DataFrame:
-    """Schema-level contract check per file: ``(source_path, header, header_error)``.
-
-    A file whose header misses a required column (or has an extra one under a
-    strict contract) fails as a whole; the others are scanned.
-    """
-    h = csv_headers(spark, paths)
-    return h.withColumn("header_error", column_set_reason(F.col("header"), contract))
-
-
 def scan_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
              header: bool = True) -> DataFrame:
     """Scan headered CSV files that share one column layout, all columns as strings.
@@ -79,34 +52,55 @@ def scan_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
                               F.monotonically_increasing_id().alias("pos")).alias(LINE_ORDER))
 
 
-def scan_checked_csv(spark: SparkSession, paths: Sequence[str], contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """Header-check every file, then scan the good ones: ``(rows, file_status)``.
-
-    The only driver round trip is the list of good file paths grouped by header
-    layout -- file-listing metadata of the same size Spark's own file index
-    keeps on the driver; no row data passes through it.
+def scan_checked_csv(spark: SparkSession, paths: Sequence[str], contract: Contract,
+                     max_columns: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Header-check and scan headered CSV files in one read: ``(rows, file_status, scan)``.
+
+    Every line is parsed positionally into ``max_columns`` string fields
+    (default: the contract's columns + 16). Each file's header is its first
+    line -- the ``min_by`` over scan order among rows of the file's first
+    split, a map-side-combined aggregate -- and is checked against the
+    contract (missing columns; extra ones when strict). Data rows are then
+    mapped to contract columns *by header position*, so files may order
+    their columns differently; rows of failing files and the header lines
+    themselves are dropped. The positional scan is persisted
+    (``MEMORY_AND_DISK``) because both the header aggregate and the rows read
+    it: files are read from storage once (a lost block is recomputed from the
+    files). ``scan`` is that persisted frame; ``unpersist()`` it when done.
+    The per-file header frame has one row per file: joining it back is a
+    broadcast once AQE has measured it small, a sort-merge join otherwise.
+    A required column beyond ``max_columns`` in a non-strict file is reported
+    missing; raise ``max_columns`` for very wide files.
     """
-    status = classify_csv_files(spark, paths, contract).cache()
-    layouts = (status.filter(F.col("header_error").isNull())
-                     .groupBy(F.array_join("header", "\u0001").alias("layout"))
-                     .agg(F.collect_list(FILE_PATH).alias("paths"))
-                     .collect())
     wanted = list(contract.columns) + list(contract.optional)
-    frames = []
-    for row in layouts:
-        cols = row["layout"].split("\u0001")
-        df = scan_csv(spark, row["paths"], cols)
-        frames.append(df.select(*[F.col(c) if c in cols else F.lit(None).cast("string").alias(c) for c in wanted],
-                                FILE_PATH, FILE_NAME, LINE_ORDER))
-    if not frames:
-        empty = spark.createDataFrame([], string_schema(wanted)).select(
-            *wanted, F.lit(None).cast("string").alias(FILE_PATH), F.lit(None).cast("string").alias(FILE_NAME),
-            F.struct(F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("pos")).alias(LINE_ORDER))
-        return empty, status
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out, status
+    width = max_columns or (len(wanted) + 16)
+    fields = [f"_f{i}" for i in range(width)]
+    raw = (spark.read.schema(string_schema(fields)).option("header", False).option("mode", "PERMISSIVE")
+                .csv(list(paths))
+                .select(F.array(*fields).alias("_fields"),
+                        F.col("_metadata.file_path").alias(FILE_PATH),
+                        F.col("_metadata.file_block_start").alias("_blk"),
+                        F.monotonically_increasing_id().alias("_id"))
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    headers = (raw.filter(F.col("_blk") == 0).groupBy(FILE_PATH)
+                  .agg(F.min_by(F.struct("_fields", "_id"), F.col("_id")).alias("_h")))
+    names = F.filter(F.transform(F.col("_h._fields"),
+                                 lambda x: F.trim(F.regexp_replace(x, "^\ufeff", ""))),
+                     lambda x: x.isNotNull() & (x != ""))
+    status = (headers.select(F.col(FILE_PATH).alias("_hp"), names.alias("header"), F.col("_h._id").alias("_hid"))
+                     .withColumn("header_error", column_set_reason(F.col("header"), contract)))
+    joined = raw.join(status, raw[FILE_PATH] == status["_hp"])
+    body = joined.filter(F.col("header_error").isNull()
+                         & ~((F.col("_blk") == 0) & (F.col("_id") == F.col("_hid"))))
+    cols = []
+    for c in wanted:
+        pos = F.array_position(F.col("header"), c).cast("int")
+        cols.append(null_tokens_to_null(F.when(pos > 0, F.element_at(F.col("_fields"), pos))).alias(c))
+    rows = body.select(*cols, F.col(FILE_PATH),
+                       _file_name(F.col(FILE_PATH)).alias(FILE_NAME),
+                       F.struct(F.col("_blk").alias("block"), F.col("_id").alias("pos")).alias(LINE_ORDER))
+    file_status = status.select(F.col("_hp").alias(FILE_PATH), "header", "header_error")
+    return rows, file_status, raw
 
 
 def scan_json(spark: SparkSession, paths: Sequence[str], schema: T.StructType,
