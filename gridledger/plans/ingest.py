@@ -34,7 +34,6 @@ from ..functions.hashing import capture_name
 from ..operators import contracts, landing, quality
 from ..operators.keyed import latest_per_key
 from ..operators.upsert import BATCH_SEQ, ChangeLog, write_batch
-from ..session import materialize
 from ..sources import files
 from .datasets import Dataset
 
@@ -102,29 +101,21 @@ class IngestResult:
     rejected: DataFrame     # quarantined rows written by this run
 
 
-def _landing_name(spark: SparkSession, dataset: Dataset, manifest: DataFrame, paths) -> DataFrame:
-    if dataset.landing == "immutable":
-        return manifest.withColumn("name", F.col(files.FILE_NAME))
+def _landing_name(dataset: Dataset, raw: DataFrame) -> DataFrame:
+    """Logical landing name per file (the capture name is read from the bytes already in hand)."""
     if dataset.landing == "capture":
-        caps = (spark.read.schema(T.StructType([T.StructField("generated_at_utc", T.StringType())]))
-                     .option("multiLine", True).json(list(paths))
-                     .select(F.col("_metadata.file_path").alias("_p"), "generated_at_utc"))
-        m = manifest.join(caps, manifest[files.FILE_PATH] == caps["_p"], "left").drop("_p")
-        return m.withColumn("name", F.concat(capture_name("generated_at_utc"), F.lit(".json"))) \
-                .drop("generated_at_utc")
-    return manifest.withColumn("name", F.col(files.FILE_NAME))
+        gen = F.from_json(files.content_text(), "generated_at_utc STRING").getField("generated_at_utc")
+        return raw.withColumn("name", F.concat(capture_name(gen), F.lit(".json")))
+    return raw.withColumn("name", F.col(files.FILE_NAME))
 
 
-def land(store: Store, dataset: Dataset, paths, batch_seq: int) -> DataFrame:
-    """Fingerprint and classify one batch of incoming files against everything landed before.
+def land(store: Store, dataset: Dataset, raw: DataFrame, batch_seq: int) -> DataFrame:
+    """Classify one batch of incoming files (``files.read_raw`` rows) against everything landed before.
 
     Returns one row per incoming file with ``landing_status`` and, for
     versioned datasets, the ``version_name`` the content is stored under.
     """
-    spark = store.spark
-    incoming = files.raw_manifest(spark, paths)
-    # hash the bytes once: classification reads the fingerprints in several branches
-    incoming = materialize(_landing_name(spark, dataset, incoming, paths))
+    incoming = _landing_name(dataset, raw).drop("content")
     incoming = incoming.withColumn(
         "landed_seq", F.struct(F.lit(int(batch_seq)).cast("bigint").alias("batch"),
                                F.col("modified_at"), F.col(files.FILE_PATH).alias("path")))
@@ -146,22 +137,37 @@ def land(store: Store, dataset: Dataset, paths, batch_seq: int) -> DataFrame:
                        *(["version_name", "stem"] if dataset.landing == "versioned" else []))
 
 
-def _scan(store: Store, dataset: Dataset, good_paths: list[str]) -> tuple[DataFrame, DataFrame | None,
-                                                                          DataFrame | None]:
-    spark = store.spark
+def _parse(dataset: Dataset, good: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the good files, parsed from their bytes: ``(rows, header_status)``."""
     if dataset.fmt == "csv":
-        # the positional scan stays cached until the run has written its outputs
-        rows, header_status, scan_cache = files.scan_checked_csv(spark, good_paths, dataset.contract)
-        rows = rows.withColumnRenamed(files.LINE_ORDER, "_line_order")
-        return rows, header_status, scan_cache
-    docs = files.scan_json(spark, good_paths, dataset.json_schema)
+        rows, header_status = files.csv_from_content(good, dataset.contract)
+        return rows.withColumnRenamed(files.LINE_ORDER, "_line_order"), header_status
+    docs = files.json_from_content(good, dataset.json_schema)
     if dataset.explode:
-        flat = docs.select(*dataset.parents, files.FILE_PATH, files.FILE_NAME,
-                           F.posexplode(dataset.explode).alias("_line_order", "_elem"))
-        rows = flat.select(*dataset.parents, files.FILE_PATH, files.FILE_NAME, "_line_order", "_elem.*")
-    else:
-        rows = docs.withColumn("_line_order", F.lit(0))
-    return rows, None, None
+        keep = [*dataset.parents, files.FILE_PATH, files.FILE_NAME, "_file_order"]
+        flat = docs.select(*keep, F.posexplode(dataset.explode).alias("_line_order", "_elem"))
+        return flat.select(*keep, "_line_order", "_elem.*"), None
+    return docs.withColumn("_line_order", F.lit(0)), None
+
+
+def _flag_files(store: Store, dataset: Dataset, ok: DataFrame,
+                raw: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Type and flag every row of the files listed in ``ok`` (``source_path``, ``landed_seq``).
+
+    ``raw`` is the batch's persisted bytes; without it (rebuild) the files are
+    read here, once. The file list joins ``raw`` on the path: one row per file
+    on each side, a broadcast once AQE has measured the list small.
+    """
+    order = ok.select(F.col(files.FILE_PATH), F.col("landed_seq").alias("_file_order"))
+    if raw is None:
+        paths = [r[files.FILE_PATH] for r in order.select(files.FILE_PATH).distinct().collect()]
+        if not paths:
+            return None, None
+        raw = files.read_raw(store.spark, paths)
+    good = raw.join(order, files.FILE_PATH)
+    rows, header_status = _parse(dataset, good)
+    flagged = contracts.flag(dataset.prepare(rows), dataset.contract).persist(StorageLevel.MEMORY_AND_DISK)
+    return flagged, header_status
 
 
 def ingest(store: Store, dataset: Dataset, paths, run_id: str, batch_seq: int,
@@ -184,22 +190,6 @@ def ingest(store: Store, dataset: Dataset, paths, run_id: str, batch_seq: int,
         raise
 
 
-def _flag_files(store: Store, dataset: Dataset, ok: DataFrame) -> tuple[DataFrame | None, DataFrame | None,
-                                                                         DataFrame | None]:
-    """Scan the files listed in ``ok`` (``source_path``, ``landed_seq``), type and flag every row.
-
-    The only driver round trip is the list of file paths (listing metadata).
-    """
-    good_paths = [r[files.FILE_PATH] for r in ok.select(files.FILE_PATH).distinct().collect()]
-    if not good_paths:
-        return None, None, None
-    file_order = ok.select(F.col(files.FILE_PATH).alias("_fp"), F.col("landed_seq").alias("_file_order"))
-    rows, header_status, scan_cache = _scan(store, dataset, good_paths)
-    rows = rows.join(file_order, rows[files.FILE_PATH] == file_order["_fp"]).drop("_fp")
-    flagged = contracts.flag(dataset.prepare(rows), dataset.contract).persist(StorageLevel.MEMORY_AND_DISK)
-    return flagged, header_status, scan_cache
-
-
 def rebuild(store: Store, dataset: Dataset, run_id: str, as_of: _dt.datetime,
             write_base: bool = False) -> DataFrame:
     """Recompute the curated fact from the raw files recorded in the landing manifest.
@@ -218,7 +208,7 @@ def rebuild(store: Store, dataset: Dataset, run_id: str, as_of: _dt.datetime,
         ok = latest_per_key(ok, ["stem"], ["landed_seq"])
     else:
         ok = ok.filter(F.col("landing_status") == landing.LANDED)
-    flagged, _, _ = _flag_files(store, dataset, ok)
+    flagged, _ = _flag_files(store, dataset, ok)
     if flagged is None:
         raise ValueError(f"no readable files for {dataset.name}")
     lineage = [F.lit(as_of).cast("timestamp").alias("ingested_at"), F.lit(run_id).alias("pipeline_run_id")]
@@ -234,14 +224,16 @@ def rebuild(store: Store, dataset: Dataset, run_id: str, as_of: _dt.datetime,
 def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch_seq: int,
             as_of: _dt.datetime, partial_on_rejects: bool = False) -> IngestResult:
     spark = store.spark
-    landed = land(store, dataset, paths, batch_seq).persist(StorageLevel.MEMORY_AND_DISK)
+    # every file is read from storage once: fingerprint, landing name, header and rows come from these bytes
+    raw = files.read_raw(spark, paths).persist(StorageLevel.MEMORY_AND_DISK)
+    landed = land(store, dataset, raw, batch_seq).persist(StorageLevel.MEMORY_AND_DISK)
     write_batch(landed, store.path("manifest", dataset.name), batch_seq)
 
     ok = landed.filter(F.col("landing_status") != landing.COLLISION)
     if dataset.landing == "versioned":
         # process only the latest version of each logical name seen in this batch
         ok = latest_per_key(ok, ["stem"], ["landed_seq"])
-    flagged, header_status, scan_cache = _flag_files(store, dataset, ok)
+    flagged, header_status = _flag_files(store, dataset, ok, raw)
 
     lineage = [F.lit(as_of).cast("timestamp").alias("ingested_at"), F.lit(run_id).alias("pipeline_run_id")]
     if flagged is not None:
@@ -307,7 +299,7 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
     }
     run = spark.createDataFrame([run_row], RUN_SCHEMA)
     run.write.mode("append").parquet(store.path("ledger", "runs"))   # commit marker, written last
-    for cached in (flagged, scan_cache, landed):
+    for cached in (flagged, landed, raw):
         if cached is not None:
             cached.unpersist()
     empty = spark.createDataFrame([], T.StructType([]))

@@ -159,3 +159,77 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> tuple
     if stats["n"] > 0 and stats["good"] == 0:
         return spark.createDataFrame([], schema), "export_corrupt"
     return good, "ok"
+
+
+def read_raw(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """One row per file with its bytes: the unit of landing for small source documents.
+
+    ``(source_path, source_file, content_sha, length, modified_at, content)``. Ingest
+    persists this frame and derives the fingerprint, the landing name, the
+    header check and the parsed rows from it, so every file is read from
+    storage exactly once. (Files are bounded by the binary source's per-file
+    limit; very large CSVs belong on ``scan_checked_csv`` instead.)
+    """
+    df = spark.read.format("binaryFile").load(list(paths))
+    return df.select(F.col("path").alias(FILE_PATH), _file_name(F.col("path")).alias(FILE_NAME),
+                     content_sha(F.col("content")).alias("content_sha"), F.col("length"),
+                     F.col("modificationTime").alias("modified_at"), F.col("content"))
+
+
+def content_text(col: str = "content") -> F.Column:
+    """File bytes as UTF-8 text without a leading byte-order mark."""
+    return F.regexp_replace(F.decode(F.col(col), "UTF-8"), "^\ufeff", "")
+
+
+def _fields_ddl(width: int) -> str:
+    return ", ".join(f"_f{i} STRING" for i in range(width))
+
+
+def _as_array(struct_col: F.Column, width: int) -> F.Column:
+    return F.array(*[struct_col.getField(f"_f{i}") for i in range(width)])
+
+
+def csv_from_content(raw: DataFrame, contract: Contract,
+                     max_columns: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Parse headered CSV documents held as bytes: ``(rows, file_status)``.
+
+    Per file (one row each, no shuffle): split into lines, parse the first line
+    as the header and check it against the contract; a failing file yields no
+    rows and a ``header_error``. Data lines are parsed with ``from_csv`` and
+    mapped to contract columns by header position; ``line_order`` is the exact
+    line number in the file. Blank lines are skipped; quoted fields spanning
+    lines are not supported (the source format has none).
+    """
+    wanted = list(contract.columns) + list(contract.optional)
+    width = max_columns or (len(wanted) + 16)
+    ddl = _fields_ddl(width)
+    lines = F.split(content_text(), "\r?\n")
+    head = _as_array(F.from_csv(F.element_at(lines, 1), ddl), width)
+    names = F.filter(F.transform(head, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
+    extra = [c for c in ("_file_order",) if c in raw.columns]
+    per_file = (raw.select(FILE_PATH, FILE_NAME, *extra, lines.alias("_lines"), names.alias("header"))
+                   .withColumn("header_error", column_set_reason(F.col("header"), contract)))
+    file_status = per_file.select(FILE_PATH, "header", "header_error")
+    body = (per_file.filter(F.col("header_error").isNull())
+                    .select(FILE_PATH, FILE_NAME, *extra, "header",
+                            F.posexplode("_lines").alias("_pos", "_line"))
+                    .filter((F.col("_pos") > 0) & (F.trim(F.col("_line")) != "")))
+    fields = _as_array(F.from_csv(F.col("_line"), ddl), width)
+    cols = []
+    for c in wanted:
+        pos = F.array_position(F.col("header"), c).cast("int")
+        cols.append(null_tokens_to_null(F.when(pos > 0, F.element_at(fields, pos))).alias(c))
+    rows = body.select(*cols, FILE_PATH, FILE_NAME, *extra,
+                       (F.col("_pos") + 1).cast("bigint").alias(LINE_ORDER))
+    return rows, file_status
+
+
+def json_from_content(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Parse one JSON document per file held as bytes, with a fixed schema.
+
+    Missing fields are NULL, unknown fields ignored; a malformed document gives
+    a row of NULLs, which the contract then quarantines rather than dropping.
+    """
+    doc = F.from_json(content_text(), schema, {"mode": "PERMISSIVE"})
+    keep = [c for c in (FILE_PATH, FILE_NAME, "_file_order") if c in raw.columns]
+    return raw.select(*keep, doc.alias("_doc")).select(*keep, "_doc.*")

@@ -82,3 +82,21 @@ def test_try_number_never_raises_under_ansi(spark):
     got = [r[0] for r in df.select(R.try_number("s")).collect()]
     assert got[0] == 1000.0 and got[1] is None and got[2] is None and got[3] is None and got[4] is None
     assert not any(isinstance(x, float) and math.isnan(x) for x in got)
+
+
+def test_csv_from_content_maps_columns_by_header_position(spark, tmp_path):
+    from gridledger.sources import files
+    a = tmp_path / "a.csv"
+    a.write_bytes("﻿Interval,GMTIntervalEnd,MTLF,Averaged Actual,BAA\n"
+                  "07/14/2026 00:00:00,07/14/2026 05:00:00,1,2,SPP\n\n"
+                  "07/14/2026 01:00:00,07/14/2026 06:00:00,NA,,SWPW\n".encode())
+    b = tmp_path / "b.csv"      # same columns, other order, quoted header names, CRLF
+    b.write_bytes(b'"BAA","MTLF","Interval","GMTIntervalEnd","Averaged Actual"\r\nSPP,7,i,e,8\r\n')
+    c = tmp_path / "c.csv"      # missing a required column: whole file fails
+    c.write_bytes(b"Interval,GMTIntervalEnd,MTLF,BAA\nx,y,1,SPP\n")
+    raw = files.read_raw(spark, [str(a), str(b), str(c)])
+    rows, status = files.csv_from_content(raw, LOAD.contract)
+    got = sorted((r["source_file"], r["line_order"], r["MTLF"], r["Averaged Actual"], r["BAA"]) for r in rows.collect())
+    assert got == [("a.csv", 2, "1", "2", "SPP"), ("a.csv", 4, None, None, "SWPW"), ("b.csv", 2, "7", "8", "SPP")]
+    errs = {r["source_path"].rsplit("/", 1)[1]: r["header_error"] for r in status.collect()}
+    assert errs == {"a.csv": None, "b.csv": None, "c.csv": "missing columns: Averaged Actual"}
