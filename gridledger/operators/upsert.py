@@ -142,23 +142,57 @@ class ChangeLog:
             df = df.join(committed.select(BATCH_SEQ).distinct(), BATCH_SEQ, "left_semi")
         return df
 
+    @property
+    def marker_path(self) -> str:
+        return f"{self.root}/compacted"
+
+    def compacted_upto(self) -> int | None:
+        """Highest batch folded into ``base`` (a one-row marker table), or None."""
+        if not self._exists(self.marker_path):
+            return None
+        return self.spark.read.parquet(self.marker_path).agg(F.max("upto")).first()[0]
+
     def current(self, committed: DataFrame | None = None) -> DataFrame:
-        """Latest row per key across the log (map-side combined aggregate)."""
-        df = self.log(committed)
-        latest = latest_per_key(df, self.keys, [BATCH_SEQ, ROW_SEQ])
+        """Latest row per key: ``base`` plus the log batches newer than the last compaction.
+
+        The ``_batch_seq > upto`` filter prunes log directories, so a read costs the
+        compacted snapshot plus recent batches, not the whole history. Base rows keep
+        the (batch, row) sequence they won with, so newer batches still win over them.
+        """
+        upto = self.compacted_upto()
+        rows = self.log(committed)
+        if upto is not None:
+            rows = rows.filter(F.col(BATCH_SEQ) > F.lit(int(upto)))
+            base = self.base()
+            rows = base.unionByName(rows.select(*[F.col(c).cast(base.schema[c].dataType) for c in base.columns]))
+        latest = latest_per_key(rows, self.keys, [BATCH_SEQ, ROW_SEQ])
         return latest.drop(BATCH_SEQ, ROW_SEQ)
 
-    def compact(self, dates: Iterable | None = None) -> None:
-        """Rewrite the latest-per-key snapshot of the given date partitions into ``base``.
+    def compact(self, committed: DataFrame | None = None, upto: int | None = None) -> int | None:
+        """Fold committed log batches up to ``upto`` into ``base``; returns the new watermark.
 
-        Reads the log, writes ``base``: never overwrites what it reads.
+        Only event-date partitions touched since the previous compaction are
+        rewritten (dynamic partition overwrite), each from its full log history,
+        so compaction reads the log and writes ``base`` -- never overwriting what
+        it reads. The marker is written last: a crash in between leaves the old
+        marker, and the next read merges the same batches again to the same result.
         """
-        df = self.spark.read.parquet(self.log_path)
-        if dates is not None:
-            df = df.filter(F.col(self.date_col).isin(list(dates)))
-        latest = latest_per_key(df, self.keys, [BATCH_SEQ, ROW_SEQ]).drop(BATCH_SEQ, ROW_SEQ)
+        prev = self.compacted_upto()
+        log = self.log(committed)
+        if upto is None:
+            upto = log.agg(F.max(BATCH_SEQ)).first()[0]
+        if upto is None:
+            return prev
+        seq = F.col(BATCH_SEQ)
+        delta = log.filter((seq <= F.lit(int(upto))) & ((seq > F.lit(int(prev))) if prev is not None else F.lit(True)))
+        touched = delta.select(self.date_col).distinct()
+        history = log.filter(seq <= F.lit(int(upto))).join(touched, self.date_col, "left_semi")
+        latest = latest_per_key(history, self.keys, [BATCH_SEQ, ROW_SEQ]) \
+            .withColumn(BATCH_SEQ, F.col(BATCH_SEQ).cast("bigint"))
         (latest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(self.date_col).parquet(self.base_path))
+        self.spark.createDataFrame([(int(upto),)], "upto bigint").write.mode("overwrite").parquet(self.marker_path)
+        return int(upto)
 
     def base(self) -> DataFrame:
         return self.spark.read.parquet(self.base_path)

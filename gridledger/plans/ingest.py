@@ -86,6 +86,11 @@ class Store:
         runs = self.runs()
         return runs.filter((F.col("source") == dataset.name) & (F.col("status") != quality.FAILED)).select(BATCH_SEQ)
 
+    def compact(self, dataset: Dataset) -> int | None:
+        """Fold every committed batch of a fact into its base snapshot (touched dates only)."""
+        log = self.facts(dataset)
+        return log.compact(self.committed(dataset)) if log.exists() else None
+
     def current_facts(self, dataset: Dataset) -> DataFrame | None:
         log = self.facts(dataset)
         if not log.exists():
@@ -197,8 +202,8 @@ def rebuild(store: Store, dataset: Dataset, run_id: str, as_of: _dt.datetime,
     Immutable datasets use each name's first (landed) file; versioned ones the
     latest version per logical name. All files go through one scan, and the
     keep-last order across files is the landing order, so the result equals
-    replaying every ingest in sequence. With ``write_base`` the result
-    replaces the fact's ``base`` snapshot (partition overwrite).
+    replaying every ingest in sequence. With ``write_base`` the result is
+    written to ``rebuilt/<dataset>`` (date-partitioned) for comparison or swap.
     """
     man = store.read("manifest", dataset.name)
     if man is None:
@@ -217,7 +222,7 @@ def rebuild(store: Store, dataset: Dataset, run_id: str, as_of: _dt.datetime,
         .withColumn(dataset.date_col, F.to_date(F.col(dataset.date_source)))
     if write_base:
         (facts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(dataset.date_col).parquet(store.facts(dataset).base_path))
+              .partitionBy(dataset.date_col).parquet(store.path("rebuilt", dataset.name)))
     return facts
 
 

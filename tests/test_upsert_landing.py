@@ -45,21 +45,27 @@ def test_latest_per_key_is_order_independent(spark):
 def test_change_log_commit_marker_and_compact(spark, tmp_path):
     root = str(tmp_path / "facts")
     log = upsert.ChangeLog(spark, root, ["baa", "ts"], "event_date")
-    b1 = spark.createDataFrame([("SPP", "h1", 1.0, "2026-07-14"), ("SPP", "h2", 2.0, "2026-07-15")],
-                               "baa string, ts string, v double, event_date string")
-    b2 = spark.createDataFrame([("SPP", "h2", 9.0, "2026-07-15")], "baa string, ts string, v double, event_date string")
+    schema = "baa string, ts string, v double, event_date string"
+    b1 = spark.createDataFrame([("SPP", "h1", 1.0, "2026-07-14"), ("SPP", "h2", 2.0, "2026-07-15")], schema)
+    b2 = spark.createDataFrame([("SPP", "h2", 9.0, "2026-07-15")], schema)
     log.append(b1, 1)
     log.append(b2, 2)
     committed_1 = spark.createDataFrame([(1,)], "_batch_seq long")
     assert rows(log.current(committed_1), "ts", "v") == [("h1", 1.0), ("h2", 2.0)]   # batch 2 uncommitted
     committed = spark.createDataFrame([(1,), (2,)], "_batch_seq long")
     assert rows(log.current(committed), "ts", "v") == [("h1", 1.0), ("h2", 9.0)]
-    log.compact()
+    assert log.compact(committed) == 2
     assert rows(log.base(), "ts", "v") == [("h1", 1.0), ("h2", 9.0)]
-    # recompacting one date leaves the other partition intact
-    log.append(spark.createDataFrame([("SPP", "h1", 5.0, "2026-07-14")], b1.schema), 3)
-    log.compact(["2026-07-14"])
-    assert rows(log.base(), "ts", "v") == [("h1", 5.0), ("h2", 9.0)]
+    # a newer batch touching one date: reads merge base + delta; compaction rewrites only that date
+    log.append(spark.createDataFrame([("SPP", "h1", 5.0, "2026-07-14"), ("SPP", "h3", 7.0, "2026-07-14")],
+                                     schema), 3)
+    assert rows(log.current(), "ts", "v") == [("h1", 5.0), ("h2", 9.0), ("h3", 7.0)]
+    assert log.compact() == 3
+    assert rows(log.base(), "ts", "v") == [("h1", 5.0), ("h2", 9.0), ("h3", 7.0)]
+    assert rows(log.current(), "ts", "v") == [("h1", 5.0), ("h2", 9.0), ("h3", 7.0)]
+    # an older batch number arriving late cannot beat what it precedes
+    log.append(spark.createDataFrame([("SPP", "h4", 1.0, "2026-07-15")], schema), 4)
+    assert rows(log.current(), "ts", "v") == [("h1", 5.0), ("h2", 9.0), ("h3", 7.0), ("h4", 1.0)]
 
 
 def _manifest(spark, data):
