@@ -17,9 +17,10 @@ job that dies half way leaves nothing a reader would pick up.
 
 from __future__ import annotations
 
+import uuid
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .keyed import latest_per_key
@@ -75,7 +76,7 @@ def append_history(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 
 def write_batch(df: DataFrame, path: str, batch_seq: int, partition_cols: Sequence[str] = (),
-                scope: str | None = None) -> None:
+                scope: str | None = None, metrics: Sequence | None = None) -> dict:
     """Idempotent batch write into ``<path>/_batch_seq=<n>/<partitions>``.
 
     Each batch owns one directory, written with a plain overwrite of that
@@ -85,13 +86,20 @@ def write_batch(df: DataFrame, path: str, batch_seq: int, partition_cols: Sequen
     partition columns) as partition columns, so filters on them prune.
     ``scope`` adds a ``source=<scope>`` level for tables shared by several
     writers (check results, file status) whose batch numbers are independent.
+    ``metrics`` (aggregate Columns) are observed while the write runs and
+    returned as a dict -- counts for the run ledger without a second job.
     """
     base = path.rstrip("/") + (f"/source={scope}" if scope else "")
     target = f"{base}/{BATCH_SEQ}={int(batch_seq)}"
+    obs = None
+    if metrics:
+        obs = Observation(f"write-{uuid.uuid4().hex}")
+        df = df.observe(obs, *metrics)
     writer = df.drop(BATCH_SEQ, *(["source"] if scope else [])).write.mode("overwrite")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(target)
+    return dict(obs.get) if obs is not None else {}
 
 
 class ChangeLog:
@@ -111,16 +119,20 @@ class ChangeLog:
     def base_path(self) -> str:
         return f"{self.root}/base"
 
-    def append(self, batch: DataFrame, batch_seq: int, order_cols: Sequence[str] | None = None) -> None:
+    def append(self, batch: DataFrame, batch_seq: int, order_cols: Sequence[str] | None = None) -> dict:
         """Write one batch; in-batch duplicates resolve keep-last before writing.
 
         Re-running the same ``batch_seq`` replaces that batch's files (see
-        ``write_batch``), so a retried batch never doubles its rows.
+        ``write_batch``), so a retried batch never doubles its rows. Returns
+        ``rows_in`` (before dedup) and ``rows_written``, observed during the write.
         """
+        seen = Observation(f"append-in-{uuid.uuid4().hex}")
+        batch = batch.observe(seen, F.count(F.lit(1)).alias("rows_in"))
         if order_cols:
             batch = latest_per_key(batch, self.keys, order_cols)
-        write_batch(batch.withColumn(ROW_SEQ, F.monotonically_increasing_id()), self.log_path, batch_seq,
-                    [self.date_col])
+        out = write_batch(batch.withColumn(ROW_SEQ, F.monotonically_increasing_id()), self.log_path, batch_seq,
+                          [self.date_col], metrics=[F.count(F.lit(1)).alias("rows_written")])
+        return {"rows_in": int(seen.get.get("rows_in", 0)), "rows_written": int(out.get("rows_written", 0))}
 
     def _exists(self, path: str) -> bool:
         jvm = self.spark.sparkContext._jvm

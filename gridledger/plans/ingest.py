@@ -26,7 +26,7 @@ import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -245,20 +245,22 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
         rejected = contracts.rejected(flagged).select(
             *[c for c in flagged.columns if not c.startswith("_")],
             F.lit(as_of).cast("timestamp").alias("quarantined_at"), F.lit(run_id).alias("pipeline_run_id"))
-        write_batch(rejected, store.path("quarantine", dataset.name), batch_seq)
-        facts = dataset.finish(contracts.accepted(flagged))
+        # row counts for the ledger are observed while the outputs are written (no extra jobs)
+        n_bad = int(write_batch(rejected, store.path("quarantine", dataset.name), batch_seq,
+                                metrics=[F.count(F.lit(1)).alias("n")]).get("n", 0))
+        seen = Observation(f"accepted-{run_id}-{batch_seq}")
+        accepted_rows = contracts.accepted(flagged).observe(seen, F.count(F.lit(1)).alias("n"))
+        facts = dataset.finish(accepted_rows)
         facts = facts.select(*dataset.fact_columns, files.FILE_NAME, *lineage) \
                      .withColumn(dataset.date_col, F.to_date(F.col(dataset.date_source)))
         facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
-        write_batch(facts, store.path("normalized", dataset.name), batch_seq, [dataset.date_col])
+        fact_stats = write_batch(facts, store.path("normalized", dataset.name), batch_seq, [dataset.date_col],
+                                 metrics=[F.count(F.lit(1)).alias("n"),
+                                          F.max(F.to_date(F.col(dataset.date_source))).alias("latest")])
         store.facts(dataset).append(facts, batch_seq)
-        counts = flagged.agg(F.count(F.lit(1)).alias("n"),
-                             F.count_if(F.col(contracts.REASON).isNotNull()).alias("bad")).first()
-        fact_stats = facts.agg(F.count(F.lit(1)).alias("n"),
-                               F.max(F.to_date(F.col(dataset.date_source))).alias("latest")).first()
-        n_facts = int(fact_stats["n"])
-        latest_day = fact_stats["latest"]
-        n_in, n_bad = int(counts["n"]), int(counts["bad"])
+        n_facts = int(fact_stats.get("n", 0))
+        latest_day = fact_stats.get("latest")
+        n_in = int(seen.get.get("n", 0)) + n_bad
     else:
         rejected = facts = None
         n_in = n_bad = n_facts = 0
