@@ -45,14 +45,6 @@ class Rule:
         return F.coalesce(self.predicate(), F.lit(False))
 
 
-def _c(col) -> Column:
-    return F.col(col) if isinstance(col, str) else col
-
-
-def _name(col) -> str:
-    return col if isinstance(col, str) else str(col)
-
-
 def not_null(col: str) -> Rule:
     return Rule(f"{col}:not_null", lambda: F.col(col).isNull())
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.exact import exact_mean_sql, exact_sum
 from ..functions.hashing import capture_name, content_sha
-from ..functions.timeparse import US_DATETIME, parse_datetime, parse_iso_instant, shift_hours
+from ..functions.timeparse import US_DATETIME, parse_iso_instant
 from ..operators import accuracy, contracts, landing, normalize, quality, reads, reconcile, upsert
 from ..session import apply_sql_settings, materialize, scratch_path
 from ..sources import files

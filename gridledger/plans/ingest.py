@@ -150,8 +150,7 @@ def _parse(dataset: Dataset, good: DataFrame) -> tuple[DataFrame, DataFrame | No
     docs = files.json_from_content(good, dataset.json_schema)
     if dataset.explode:
         keep = [*dataset.parents, files.FILE_PATH, files.FILE_NAME, "_file_order"]
-        flat = docs.select(*keep, F.posexplode(dataset.explode).alias("_line_order", "_elem"))
-        return flat.select(*keep, "_line_order", "_elem.*"), None
+        return files.explode_documents(docs, dataset.explode, keep, position_col="_line_order"), None
     return docs.withColumn("_line_order", F.lit(0)), None
 
 

@@ -12,7 +12,6 @@ Every job in the package assumes three session properties:
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -95,15 +94,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can stat a local path (tests only)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def materialize(df, spark: SparkSession | None = None):
     """Write ``df`` once to the shared checkpoint folder and cut its lineage.
 

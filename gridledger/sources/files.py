@@ -31,27 +31,6 @@ def _file_name(path_col) -> F.Column:
     return F.regexp_extract(path_col, r"([^/]+)$", 1)
 
 
-def scan_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
-             header: bool = True) -> DataFrame:
-    """Scan headered CSV files that share one column layout, all columns as strings.
-
-    Missing-value tokens (``NA``, ``NaN``, ``null``, ...) become NULL, as a
-    pandas reader would read them. Adds ``source_path``, ``source_file`` and ``line_order`` =
-    ``(file_block_start, monotonically_increasing_id)``: within one file this
-    orders rows as they appear in the file even when the file is split, which
-    is what keep-last dedup needs.
-    """
-    df = (spark.read.schema(string_schema(columns))
-               .option("header", header).option("enforceSchema", True)
-               .option("mode", "PERMISSIVE")
-               .csv(list(paths)))
-    return df.select(*[null_tokens_to_null(c).alias(c) for c in columns],
-                     F.col("_metadata.file_path").alias(FILE_PATH),
-                     _file_name(F.col("_metadata.file_path")).alias(FILE_NAME),
-                     F.struct(F.col("_metadata.file_block_start").alias("block"),
-                              F.monotonically_increasing_id().alias("pos")).alias(LINE_ORDER))
-
-
 def scan_checked_csv(spark: SparkSession, paths: Sequence[str], contract: Contract,
                      max_columns: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Header-check and scan headered CSV files in one read: ``(rows, file_status, scan)``.
@@ -116,24 +95,17 @@ def scan_json(spark: SparkSession, paths: Sequence[str], schema: T.StructType,
 
 
 def explode_documents(df: DataFrame, array_col: str, parent_cols: Sequence[str],
-                      position: bool = False) -> DataFrame:
-    """One row per array element, parent columns repeated; NULL or empty arrays give no rows."""
-    elem = F.posexplode(array_col).alias("element_pos", "element") if position \
-        else F.explode(array_col).alias("element")
-    flat = df.select(*parent_cols, elem)
-    return flat.select(*parent_cols, *(["element_pos"] if position else []), "element.*")
-
+                      position_col: str | None = None) -> DataFrame:
+    """One row per array element, parent columns repeated; NULL or empty arrays give no rows.
 
-def raw_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Fingerprint incoming raw files: ``(source_path, source_file, content_sha, length, modified_at)``.
-
-    The bytes are hashed on the executors; only the fingerprint columns leave
-    the scan.
+    With ``position_col`` the element's index is kept (document order, used as
+    the keep-last order of readings inside one file).
     """
-    df = spark.read.format("binaryFile").load(list(paths))
-    return df.select(F.col("path").alias(FILE_PATH), _file_name(F.col("path")).alias(FILE_NAME),
-                     content_sha(F.col("content")).alias("content_sha"),
-                     F.col("length"), F.col("modificationTime").alias("modified_at"))
+    parents = list(parent_cols)
+    if position_col:
+        flat = df.select(*parents, F.posexplode(array_col).alias(position_col, "_elem"))
+        return flat.select(*parents, position_col, "_elem.*")
+    return df.select(*parents, F.explode(array_col).alias("_elem")).select(*parents, "_elem.*")
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, str]:
