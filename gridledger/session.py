@@ -69,8 +69,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for lineage cuts and scratch output.
 
     Reads ``spark.checkpoint.dir`` (or the SparkContext checkpoint directory).
-    Only when neither is set -- local runs and tests -- a private directory is
-    created and registered as the checkpoint directory.
+    Only when neither is set *and* the master is local (local runs, tests) is a
+    private directory created and registered; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -83,6 +83,10 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 -- unset key raises in some versions
             conf_dir = None
     if not conf_dir:
+        master = sc.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor can reach "
+                               "(a machine-local folder cannot hold checkpoints on a cluster)")
         conf_dir = tempfile.mkdtemp(prefix="gridledger-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
