@@ -23,6 +23,7 @@ no half-visible data, and re-running the same files is idempotent.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -52,6 +53,7 @@ RUN_SCHEMA = T.StructType([
     T.StructField("records_accepted", T.LongType(), True),
     T.StructField("records_quarantined", T.LongType(), True),
     T.StructField("records_deduplicated", T.LongType(), True),
+    T.StructField("records_empty_documents", T.LongType(), True),
     T.StructField("watermark_before", T.StringType(), True),
     T.StructField("watermark_after", T.StringType(), True),
     T.StructField("error", T.StringType(), True),
@@ -142,20 +144,26 @@ def land(store: Store, dataset: Dataset, raw: DataFrame, batch_seq: int) -> Data
                        *(["version_name", "stem"] if dataset.landing == "versioned" else []))
 
 
-def _parse(dataset: Dataset, good: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of the good files, parsed from their bytes: ``(rows, header_status)``."""
+def _parse(dataset: Dataset, good: DataFrame) -> tuple[DataFrame, DataFrame | None, Observation | None]:
+    """Rows of the good files, parsed from their bytes: ``(rows, header_status, empty_docs)``.
+
+    For nested documents, ``empty_docs`` observes how many documents carried a
+    missing, NULL or empty array (they yield no rows; the run record counts them).
+    """
     if dataset.fmt == "csv":
         rows, header_status = files.csv_from_content(good, dataset.contract)
-        return rows.withColumnRenamed(files.LINE_ORDER, "_line_order"), header_status
+        return rows.withColumnRenamed(files.LINE_ORDER, "_line_order"), header_status, None
     docs = files.json_from_content(good, dataset.json_schema)
     if dataset.explode:
+        empty = Observation(f"empty-docs-{uuid.uuid4().hex}")
+        docs = docs.observe(empty, F.count_if(F.coalesce(F.size(dataset.explode), F.lit(0)) <= 0).alias("n"))
         keep = [*dataset.parents, files.FILE_PATH, files.FILE_NAME, "_file_order"]
-        return files.explode_documents(docs, dataset.explode, keep, position_col="_line_order"), None
-    return docs.withColumn("_line_order", F.lit(0)), None
+        return files.explode_documents(docs, dataset.explode, keep, position_col="_line_order"), None, empty
+    return docs.withColumn("_line_order", F.lit(0)), None, None
 
 
 def _flag_files(store: Store, dataset: Dataset, ok: DataFrame,
-                raw: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+                raw: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None, Observation | None]:
     """Type and flag every row of the files listed in ``ok`` (``source_path``, ``landed_seq``).
 
     ``raw`` is the batch's persisted bytes; without it (rebuild) the files are
@@ -166,12 +174,12 @@ def _flag_files(store: Store, dataset: Dataset, ok: DataFrame,
     if raw is None:
         paths = [r[files.FILE_PATH] for r in order.select(files.FILE_PATH).distinct().collect()]
         if not paths:
-            return None, None
+            return None, None, None
         raw = files.read_raw(store.spark, paths)
     good = raw.join(order, files.FILE_PATH)
-    rows, header_status = _parse(dataset, good)
+    rows, header_status, empty_docs = _parse(dataset, good)
     flagged = contracts.flag(dataset.prepare(rows), dataset.contract).persist(StorageLevel.MEMORY_AND_DISK)
-    return flagged, header_status
+    return flagged, header_status, empty_docs
 
 
 def ingest(store: Store, dataset: Dataset, paths, run_id: str, batch_seq: int,
@@ -212,7 +220,7 @@ def rebuild(store: Store, dataset: Dataset, run_id: str, as_of: _dt.datetime,
         ok = latest_per_key(ok, ["stem"], ["landed_seq"])
     else:
         ok = ok.filter(F.col("landing_status") == landing.LANDED)
-    flagged, _ = _flag_files(store, dataset, ok)
+    flagged, _, _ = _flag_files(store, dataset, ok)
     if flagged is None:
         raise ValueError(f"no readable files for {dataset.name}")
     lineage = [F.lit(as_of).cast("timestamp").alias("ingested_at"), F.lit(run_id).alias("pipeline_run_id")]
@@ -237,19 +245,21 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
     if dataset.landing == "versioned":
         # process only the latest version of each logical name seen in this batch
         ok = latest_per_key(ok, ["stem"], ["landed_seq"])
-    flagged, header_status = _flag_files(store, dataset, ok, raw)
+    flagged, header_status, empty_docs = _flag_files(store, dataset, ok, raw)
 
     lineage = [F.lit(as_of).cast("timestamp").alias("ingested_at"), F.lit(run_id).alias("pipeline_run_id")]
     if flagged is not None:
         rejected = contracts.rejected(flagged).select(
             *[c for c in flagged.columns if not c.startswith("_")],
             F.lit(as_of).cast("timestamp").alias("quarantined_at"), F.lit(run_id).alias("pipeline_run_id"))
-        # row counts for the ledger are observed while the outputs are written (no extra jobs)
-        n_bad = int(write_batch(rejected, store.path("quarantine", dataset.name), batch_seq,
-                                metrics=[F.count(F.lit(1)).alias("n")]).get("n", 0))
-        seen = Observation(f"accepted-{run_id}-{batch_seq}")
-        accepted_rows = contracts.accepted(flagged).observe(seen, F.count(F.lit(1)).alias("n"))
-        facts = dataset.finish(accepted_rows)
+        # this aggregate materialises the persisted flagged frame (every later output reads the
+        # cache) and gives the ledger counts; quarantine is written only when something was rejected
+        counts = flagged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(contracts.REJECTED)).alias("bad")).first()
+        n_in, n_bad = int(counts["n"]), int(counts["bad"])
+        if n_bad > 0:
+            write_batch(rejected, store.path("quarantine", dataset.name), batch_seq)
+        n_empty = int(empty_docs.get.get("n", 0)) if empty_docs is not None else None
+        facts = dataset.finish(contracts.accepted(flagged))
         facts = facts.select(*dataset.fact_columns, files.FILE_NAME, *lineage) \
                      .withColumn(dataset.date_col, F.to_date(F.col(dataset.date_source)))
         facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
@@ -259,10 +269,10 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
         store.facts(dataset).append(facts, batch_seq)
         n_facts = int(fact_stats.get("n", 0))
         latest_day = fact_stats.get("latest")
-        n_in = int(seen.get.get("n", 0)) + n_bad
     else:
         rejected = facts = None
         n_in = n_bad = n_facts = 0
+        n_empty = None
         latest_day = None
 
     # per-file status: landing collisions and header failures fail the file, the rest load
@@ -301,6 +311,7 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
         "finished_at": as_of, "status": status, "files_in": int(fcount["n"]),
         "files_failed": int(fcount["failed"]), "records_in": n_in, "records_accepted": n_facts,
         "records_quarantined": n_bad, "records_deduplicated": max(n_in - n_bad - n_facts, 0),
+        "records_empty_documents": n_empty,
         "watermark_before": None, "watermark_after": watermark, "error": None,
     }
     run = spark.createDataFrame([run_row], RUN_SCHEMA)

@@ -301,3 +301,14 @@ def test_partial_status_when_rows_are_quarantined(spark, store, tmp_path):
     run = ingest(store, LOAD, [p], "run-1", 1, AS_OF, partial_on_rejects=True).run.first()
     assert run["status"] == "partial" and run["records_quarantined"] == 1
     assert store.current_facts(LOAD).count() == 8
+
+
+def test_null_readings_document_yields_no_rows_and_is_counted(spark, store, tmp_path):
+    wd = tmp_path / "w"
+    wd.mkdir()
+    good = _json(wd / "2026-01-01.json", _weather_doc("2026-01-01", [(-8, 10), (-7, 20)]))
+    null_doc = {"date": "2026-01-02", "station": "KMDS", "readings": None}
+    bad = _json(wd / "2026-01-02.json", null_doc)
+    run = ingest(store, WEATHER, [good, bad], "w1", 1, AS_OF).run.first()
+    assert run["records_empty_documents"] == 1 and run["records_accepted"] == 1
+    assert not store.exists("quarantine", WEATHER.name)      # nothing rejected: no quarantine output
