@@ -127,3 +127,20 @@ def test_csv_stream_catch_up_is_incremental(spark, tmp_path):
     assert spark.read.parquet(store.path("quarantine", LOAD.name)).count() == 1
     runs = store.runs().filter(F.col("source") == LOAD.name).orderBy("_batch_seq").collect()
     assert [r["records_in"] for r in runs] == [40, 57]
+
+
+def test_replayed_micro_batch_is_skipped(spark, tmp_path):
+    """foreachBatch may run a batch again after a failure: the ledger row makes it a no-op."""
+    from gridledger.streaming.file_stream import upsert_batches
+    store = Store(spark, str(tmp_path / "store"))
+    batch = spark.createDataFrame([("a", 1, 1.0, "2026-01-01"), ("a", 2, 2.0, "2026-01-01"),
+                                   ("b", 3, 3.0, "2026-01-02")], "k string, seq long, v double, event_date string")
+    fn = upsert_batches(store, "src", ["k"], "event_date", lambda b: b, ["seq"], AS_OF)
+    fn(batch, 0)
+    fn(batch, 0)                                   # replay of the same micro-batch
+    runs = store.runs().filter(F.col("source") == "src").collect()
+    assert len(runs) == 1 and runs[0]["records_in"] == 3 and runs[0]["records_accepted"] == 2
+    from gridledger.operators.upsert import ChangeLog
+    log = ChangeLog(spark, store.path("facts", "src"), ["k"], "event_date")
+    assert sorted((r["k"], r["v"]) for r in log.current().collect()) == [("a", 2.0), ("b", 3.0)]
+    assert log.log().count() == 2
