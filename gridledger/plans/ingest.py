@@ -1,18 +1,21 @@
 """End-to-end ingest of one batch of source files for one dataset.
 
-One Spark job per *set* of files (never a driver loop over files or days):
+One Spark job per *set* of files (never a driver loop over files or days),
+reading every file's bytes exactly once:
 
-    raw files -> fingerprint manifest -> landing classification (immutable / versioned / capture)
-      -> header check (CSV) -> scan -> flatten -> try_cast typing -> contract flag (once)
+    raw bytes (binaryFile, persisted) -> SHA-256 + landing name -> landing classification
+      (immutable / versioned / capture) -> header check (CSV) + parse from the same bytes
+      -> flatten -> try_cast typing -> contract flag (once, persisted)
       -> quarantine (rejected rows + reasons) | normalised facts (dedup / aggregate)
       -> change-log append -> completeness check -> ledger row (commit marker)
 
-Layout under ``store_root`` (a shared path):
+Layout under ``store_root`` (a shared path); every batch writes its own
+``_batch_seq=<n>`` directory, so a retried batch replaces its partial output:
 
-    manifest/<dataset>/          landing manifest (append-only)
-    quarantine/<dataset>/        rejected rows, original text + reason + lineage
+    manifest/<dataset>/          landing manifest
+    quarantine/<dataset>/        rejected rows, original text + reason + lineage (only when any)
     normalized/<dataset>/        accepted fact rows per run, partitioned by event_date
-    facts/<dataset>/log          change log (latest row per key = current fact)
+    facts/<dataset>/log, base    change log; compacted snapshot + watermark
     ledger/runs, ledger/checks, ledger/files   run records, check results, per-file status
 
 The ledger row is written last: readers only see change-log batches that
