@@ -5,12 +5,13 @@ not in the batch, plus the batch (deduplicated keep-last). Every non-key
 column is replaced, so a later NULL overwrites a known value unless the
 column is listed in ``keep_known``.
 
-Persisted form (no table format with MERGE is assumed): a fact is an
-append-only change log partitioned by event date, each batch tagged with a
-monotonically increasing ``_batch_seq``. The current table is the latest
-row per key; ``compact`` rewrites only touched date partitions of a base
-snapshot through dynamic partition overwrite. Readers read the log
-(or base + newer log), never a partition that is being overwritten.
+Persisted form (no table format with MERGE is assumed): a fact is a
+change log where each batch owns a ``_batch_seq=<n>`` directory (inner
+partitions by event date); a retried batch overwrites only its own
+directory. The current table is the latest row per key over the compacted
+``base`` plus the batches newer than the compaction watermark; ``compact``
+rewrites only the date partitions touched since the last compaction, reading
+the log and writing ``base`` -- never overwriting what it reads.
 A batch is only visible once its ledger row exists (commit marker), so a
 job that dies half way leaves nothing a reader would pick up.
 """
