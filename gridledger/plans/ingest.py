@@ -186,7 +186,8 @@ def _flag_files(store: Store, dataset: Dataset, ok: DataFrame,
 
 
 def ingest(store: Store, dataset: Dataset, paths, run_id: str, batch_seq: int,
-           as_of: _dt.datetime, partial_on_rejects: bool = False) -> IngestResult:
+           as_of: _dt.datetime, partial_on_rejects: bool = False,
+           max_document_bytes: int = files.MAX_DOCUMENT_BYTES) -> IngestResult:
     """Run the whole ingest for ``paths``; always records a ledger row (success or failure).
 
     Status: ``success``; ``failed`` when no file could be loaded; with
@@ -196,7 +197,8 @@ def ingest(store: Store, dataset: Dataset, paths, run_id: str, batch_seq: int,
     spark = store.spark
     started = as_of
     try:
-        return _ingest(store, dataset, list(paths), run_id, batch_seq, as_of, partial_on_rejects)
+        return _ingest(store, dataset, list(paths), run_id, batch_seq, as_of, partial_on_rejects,
+                       max_document_bytes)
     except Exception as exc:  # noqa: BLE001 -- the failure is recorded, then re-raised
         row = {f.name: None for f in RUN_SCHEMA.fields}
         row.update(run_id=run_id, source=dataset.name, **{BATCH_SEQ: int(batch_seq)}, started_at=started,
@@ -237,10 +239,13 @@ def rebuild(store: Store, dataset: Dataset, run_id: str, as_of: _dt.datetime,
 
 
 def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch_seq: int,
-            as_of: _dt.datetime, partial_on_rejects: bool = False) -> IngestResult:
+            as_of: _dt.datetime, partial_on_rejects: bool = False,
+            max_document_bytes: int = files.MAX_DOCUMENT_BYTES) -> IngestResult:
     spark = store.spark
     # every file is read from storage once: fingerprint, landing name, header and rows come from these bytes
-    raw = files.read_raw(spark, paths).persist(StorageLevel.MEMORY_AND_DISK)
+    raw = files.read_raw(spark, paths, max_document_bytes).persist(StorageLevel.MEMORY_AND_DISK)
+    # files above the document limit are never loaded; each fails on its own in the file ledger
+    oversized = files.oversized_files(spark, paths, max_document_bytes)
     landed = land(store, dataset, raw, batch_seq).persist(StorageLevel.MEMORY_AND_DISK)
     write_batch(landed, store.path("manifest", dataset.name), batch_seq)
 
@@ -284,6 +289,11 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
         fstat = fstat.join(header_status.select(files.FILE_PATH, "header_error"), files.FILE_PATH, "left")
     else:
         fstat = fstat.withColumn("header_error", F.lit(None).cast("string"))
+    fstat = fstat.unionByName(oversized.select(
+        files.FILE_PATH, files.FILE_NAME, F.lit(None).cast("string").alias("landing_status"),
+        F.concat(F.lit("file larger than the document limit: "), F.col("length").cast("string"),
+                 F.lit(" bytes")).alias("landing_error"),
+        F.lit(None).cast("string").alias("header_error")))
     fstat = fstat.select(F.lit(run_id).alias("run_id"), F.lit(dataset.name).alias("source"), "*",
                          F.when(F.col("landing_error").isNotNull() | F.col("header_error").isNotNull(),
                                 F.lit(quality.FAILED)).otherwise(F.lit(quality.SUCCESS)).alias("file_status"))

@@ -133,16 +133,34 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> tuple
     return good, "ok"
 
 
-def read_raw(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+# Largest source document read whole into one row (bytes).
+MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
+
+
+def oversized_files(spark: SparkSession, paths: Sequence[str], max_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:
+    """Files above the document limit, listed without reading their content.
+
+    ``binaryFile`` pushes the ``length`` filter down and reads no bytes when
+    ``content`` is not selected.
+    """
+    df = spark.read.format("binaryFile").load(list(paths))
+    return df.filter(F.col("length") > F.lit(int(max_bytes))).select(
+        F.col("path").alias(FILE_PATH), _file_name(F.col("path")).alias(FILE_NAME), F.col("length"))
+
+
+def read_raw(spark: SparkSession, paths: Sequence[str], max_bytes: int | None = MAX_DOCUMENT_BYTES) -> DataFrame:
     """One row per file with its bytes: the unit of landing for small source documents.
 
     ``(source_path, source_file, content_sha, length, modified_at, content)``. Ingest
     persists this frame and derives the fingerprint, the landing name, the
     header check and the parsed rows from it, so every file is read from
-    storage exactly once. (Files are bounded by the binary source's per-file
-    limit; very large CSVs belong on ``scan_checked_csv`` instead.)
+    storage exactly once. Files above ``max_bytes`` are skipped without being
+    read (see ``oversized_files``); very large CSVs belong on
+    ``scan_checked_csv`` instead.
     """
     df = spark.read.format("binaryFile").load(list(paths))
+    if max_bytes is not None:
+        df = df.filter(F.col("length") <= F.lit(int(max_bytes)))
     return df.select(F.col("path").alias(FILE_PATH), _file_name(F.col("path")).alias(FILE_NAME),
                      content_sha(F.col("content")).alias("content_sha"), F.col("length"),
                      F.col("modificationTime").alias("modified_at"), F.col("content"))

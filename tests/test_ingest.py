@@ -312,3 +312,14 @@ def test_null_readings_document_yields_no_rows_and_is_counted(spark, store, tmp_
     run = ingest(store, WEATHER, [good, bad], "w1", 1, AS_OF).run.first()
     assert run["records_empty_documents"] == 1 and run["records_accepted"] == 1
     assert not store.exists("quarantine", WEATHER.name)      # nothing rejected: no quarantine output
+
+
+def test_oversized_file_fails_alone_without_being_read(spark, store, tmp_path):
+    small = _write_csv(tmp_path / "small.csv", _load_rows(4, 4))
+    big = _write_csv(tmp_path / "big.csv", _load_rows(48, 48))
+    res = ingest(store, LOAD, [small, big], "run-1", 1, AS_OF, max_document_bytes=2000)
+    st = {r["source_file"]: (r["file_status"], r["landing_error"]) for r in res.files.collect()}
+    assert st["small.csv"] == ("success", None)
+    assert st["big.csv"][0] == "failed" and "document limit" in st["big.csv"][1]
+    run = res.run.first()
+    assert run["status"] == "success" and run["files_failed"] == 1 and run["records_accepted"] == 8
