@@ -193,8 +193,11 @@ def csv_from_content(raw: DataFrame, contract: Contract,
     wanted = list(contract.columns) + list(contract.optional)
     width = max_columns or (len(wanted) + 16)
     ddl = _fields_ddl(width)
-    lines = F.split(content_text(), "\r?\n")
-    head = _as_array(F.from_csv(F.element_at(lines, 1), ddl), width)
+    text = content_text()
+    lines = F.split(text, r"\r?\n")
+    # the header is parsed from the text up to the first newline, not from a second full split
+    first_line = F.regexp_replace(F.substring_index(text, "\n", 1), r"\r$", "")
+    head = _as_array(F.from_csv(first_line, ddl), width)
     names = F.filter(F.transform(head, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
     extra = [c for c in ("_file_order",) if c in raw.columns]
     per_file = (raw.select(FILE_PATH, FILE_NAME, *extra, lines.alias("_lines"), names.alias("header"))
