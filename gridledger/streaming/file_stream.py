@@ -30,6 +30,8 @@ from ..sources import files
 
 
 def _already_committed(store: Store, source: str, batch_seq: int) -> bool:
+    if not store.exists("ledger", "runs"):       # first batch ever: nothing to look up
+        return False
     runs = store.runs()
     return runs.filter((F.col("source") == source) & (F.col(BATCH_SEQ) == batch_seq)).limit(1).count() > 0
 
