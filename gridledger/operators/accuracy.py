@@ -69,8 +69,11 @@ def latest_capture_accuracy(actual: DataFrame, forecast: DataFrame, actual_key:
     captures of a key in one task.
     """
     latest = forecast.groupBy(forecast_key).agg(F.max(capture_col).alias("_max_capture"))
+    # ``>=`` the key's maximum is the same rows as ``=`` (nothing exceeds the max), but keeps the key
+    # as the only equi-join key: the forecasts are shuffled once, by key, and that partitioning is
+    # reused by the join to the actuals instead of a second shuffle on (key, capture).
     kept = forecast.join(latest, (forecast[forecast_key] == latest[forecast_key])
-                         & (forecast[capture_col] == latest["_max_capture"]), "left_semi")
+                         & (forecast[capture_col] >= latest["_max_capture"]), "left_semi")
     out_key = out_key or actual_key
     a = actual.select(_c(actual_key).alias(out_key), _c(actual_col).alias("actual"))
     f = kept.select(_c(forecast_key).alias(out_key), _c(capture_col).alias("captured_at"),
