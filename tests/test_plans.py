@@ -103,3 +103,15 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["l_returnflag", "day", "interval_count", "mean_bias", "mean_abs_error",
                           "mean_abs_pct_error"]
+
+
+def test_latest_capture_shuffles_forecasts_by_key_only(plans):
+    p = plans["latest_capture_accuracy"]
+    assert "hashpartitioning(l_orderkey" in p
+    assert not any("hashpartitioning(l_orderkey" in line and "l_shipdate" in line for line in p.splitlines())
+
+
+def test_no_plan_time_broadcast(plans):
+    # broadcasts are decided by AQE after measuring a side, never from plan-time estimates
+    for k, p in plans.items():
+        assert "BroadcastExchange" not in p, k
