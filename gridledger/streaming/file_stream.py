@@ -112,7 +112,8 @@ def start_csv_stream(store: Store, dataset: Dataset, source_dir: str, checkpoint
 
 def stream_table_upsert(store: Store, table_path: str, source: str, keys: Sequence[str], date_col: str,
                         project: Callable[[DataFrame], DataFrame], order_cols: Sequence[str],
-                        checkpoint: str, as_of: _dt.datetime, max_files_per_trigger: int = 1) -> StreamingQuery:
+                        checkpoint: str, as_of: _dt.datetime,
+                        max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Catch-up stream over Parquet files: every trigger's new files are one keyed upsert batch.
 
     ``table_path`` is a directory, or one file inside a directory (then only
@@ -120,7 +121,9 @@ def stream_table_upsert(store: Store, table_path: str, source: str, keys: Sequen
     """
     spark = store.spark
     schema = spark.read.parquet(table_path).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", int(max_files_per_trigger))
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:        # unset: each trigger takes every new file (one batch per catch-up)
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(table_path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
