@@ -62,3 +62,32 @@ def test_incremental_window_with_column_watermark(spark):
     wm = df.agg(F.max("ts")).scalar()
     assert reconcile.incremental_window(df, "ts", wm, 6).count() == 7
     assert reconcile.incremental_window(df, "ts", "2026-01-02 10:00:00", 1).count() == 4
+
+
+def test_no_machine_local_checkpoint_folder_on_a_cluster():
+    import pytest
+    from gridledger.session import shared_dir
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _SC:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return _Conf()
+
+    class _RuntimeConf:
+        def get(self, key):
+            raise KeyError(key)
+
+    class _Spark:
+        sparkContext = _SC()
+        conf = _RuntimeConf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Spark())
