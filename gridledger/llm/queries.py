@@ -48,7 +48,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near copies of every document."""
-    return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_links", "kept")
+    return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

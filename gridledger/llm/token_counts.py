@@ -30,7 +30,7 @@ from . import common
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
-CACHE_UNITS = 700_000
+CACHE_UNITS = 500_000
 CACHED_LENGTH = 40             # longer units are computed each time
 CACHED_PAIRS = 1_000_000
 SPACE = "▁"

@@ -25,7 +25,7 @@ from . import common
 from .wordhash import words
 
 PREFIXES = (4, 5, 6)
-SAMPLE_ROWS = 6000             # bound of the labelled rows that a fit takes
+SAMPLE_ROWS = 4000             # bound of the labelled rows that a fit takes
 MAX_FEATURES = 512
 FOLDS = 4
 THRESHOLD = 0.5
@@ -136,11 +136,11 @@ def fit(feature_rows: list[np.ndarray], labels: dict[str, np.ndarray], folds: np
         any_label |= np.asarray(y) > 0
     kept, _ = select_features(feature_rows, any_label, max_features)
     index = {f: i for i, f in enumerate(kept)}
-    x = np.zeros((len(feature_rows), len(kept)))
+    x = np.zeros((len(feature_rows), len(kept)), dtype=np.float32)
     for i, row in enumerate(feature_rows):
         x[i, [index[f] for f in row.tolist() if f in index]] = 1.0
     weights, intercepts = [], []
-    earlier = np.zeros((len(x), 0))
+    earlier = np.zeros((len(x), 0), dtype=np.float32)
     for name in names:
         y = np.asarray(labels[name], dtype=float)
         inputs = np.hstack([x, earlier])
@@ -153,7 +153,7 @@ def fit(feature_rows: list[np.ndarray], labels: dict[str, np.ndarray], folds: np
         for f in np.unique(folds):
             wf, bf = fit_logistic(inputs[folds != f], y[folds != f])
             out_of_fold[folds == f] = _sigmoid(inputs[folds == f] @ wf + bf)
-        earlier = np.hstack([earlier, out_of_fold[:, None]])
+        earlier = np.hstack([earlier, out_of_fold[:, None].astype(np.float32)])
     return Chain(names, index, weights, intercepts)
 
 
