@@ -158,7 +158,7 @@ def _hits(bitmap: object, least: int):
                         hits.append(may.view(np.int64))
             out = pdf.iloc[keep].copy()
             out["doc_id"] = out["doc_id"].astype("Int64").astype(object).where(out["doc_id"].notna(), None)
-            yield out.assign(hits=hits)
+            yield out.assign(hits=pd.Series(hits, index=out.index, dtype=object))
 
     return run
 

@@ -117,6 +117,8 @@ def word_vectors(sample: DataFrame) -> Vectors:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sums = context_sums(pdf["text"].tolist())
+            if not sums:
+                continue
             frame = pd.DataFrame(np.array([v for _, v in sums.values()], dtype=np.int64).reshape(-1, DIMENSIONS), columns=columns)
             frame.insert(0, "n", [n for n, _ in sums.values()])
             frame.insert(0, "word", list(sums))
