@@ -185,6 +185,6 @@ def snapshot_filter(df: DataFrame, text_col: str, start, end, order_col: str,
     rows = df
     if key_col is not None:
         rows = rows.filter(F.col(key_col) == F.lit(key))
-    d = F.substring(F.col(text_col), 1, 10).try_cast("date")
+    d = parse_iso_date(F.substring(F.col(text_col), 1, 10))
     rows = rows.filter(d.isNotNull() & (d >= F.lit(start).cast("date")) & (d <= F.lit(end).cast("date")))
     return rows.orderBy(order_col).limit(int(cap))

@@ -97,6 +97,8 @@ def write_batch(df: DataFrame, path: str, batch_seq: int, partition_cols: Sequen
         obs = Observation(f"write-{uuid.uuid4().hex}")
         df = df.observe(obs, *metrics)
     writer = df.drop(BATCH_SEQ, *(["source"] if scope else [])).write.mode("overwrite")
+    # a retry with fewer partitions must not leave the earlier attempt's: the session's dynamic mode would
+    writer = writer.option("partitionOverwriteMode", "static")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(target)

@@ -162,8 +162,9 @@ def _weather_prepare(df: DataFrame) -> DataFrame:
 
 
 def _weather_finish(df: DataFrame) -> DataFrame:
-    m = station_day_mean(df.withColumnRenamed("day", "date_d"), ["date_d", "station"],
-                         ["temperature_c_n", "sky_cover_pct_n"], first_col=FILE_NAME, order_col="_line_order")
+    ordered = df.withColumnRenamed("day", "date_d").withColumn("_row_order", F.struct("_file_order", "_line_order"))
+    m = station_day_mean(ordered, ["date_d", "station"],
+                         ["temperature_c_n", "sky_cover_pct_n"], first_col=FILE_NAME, order_col="_row_order")
     return m.select(F.col("date_d").alias("date"), "station",
                     F.col("avg_temperature_c_n").alias("avg_temperature_c"),
                     F.col("avg_sky_cover_pct_n").alias("avg_sky_cover_pct"),

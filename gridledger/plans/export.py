@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import accuracy, quality, reads
 from .datasets import DAILY, FORECAST, LOAD
 from .ingest import Store
+from .sweep import SWEEP_SOURCE
 
 # Export windows and names.
 HISTORY_WINDOW_DAYS = 90
@@ -63,7 +64,7 @@ def export_frames(store: Store, as_of: _dt.date) -> dict[str, tuple[str, DataFra
         out["spp_load_forecast_accuracy"] = ("load_forecast_accuracy", accuracy.interval_accuracy(
             load, ["baa"], "interval_start_utc", "load_forecast_mw", "load_actual_mw", start=lo)
             .orderBy("baa", "day"))
-    runs = store.runs()
+    runs = store.runs().filter(F.col("source") != SWEEP_SOURCE)     # the sweep is no source
     out["source_health"] = ("source_freshness", quality.freshness_state(runs, seq_col="_batch_seq",
                                                                        watermark_col="watermark_after"))
     checks = store.read("ledger", "checks")

@@ -202,7 +202,7 @@ def ingest(store: Store, dataset: Dataset, paths, run_id: str, batch_seq: int,
     except Exception as exc:  # noqa: BLE001 -- the failure is recorded, then re-raised
         row = {f.name: None for f in RUN_SCHEMA.fields}
         row.update(run_id=run_id, source=dataset.name, **{BATCH_SEQ: int(batch_seq)}, started_at=started,
-                   finished_at=as_of, status=quality.FAILED, error=str(exc)[:1000])
+                   finished_at=as_of, status=quality.FAILED, error=str(exc))
         spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").parquet(store.path("ledger", "runs"))
         raise
 

@@ -43,7 +43,7 @@ def run_quality_sweep(store: Store, run_id: str, batch_seq: int, as_of: _dt.date
         write_batch(checks, store.path("ledger", "checks"), batch_seq, scope=SWEEP_SOURCE)
         status, error = quality.SUCCESS, None
     except Exception as exc:  # noqa: BLE001 -- recorded below, then re-raised
-        status, error = quality.FAILED, str(exc)[:1000]
+        status, error = quality.FAILED, str(exc)
         raise
     finally:
         row = {f.name: None for f in RUN_SCHEMA.fields}

@@ -12,6 +12,7 @@ Every job in the package assumes three session properties:
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -84,7 +85,7 @@ def shared_dir(spark: SparkSession) -> str:
             conf_dir = None
     if not conf_dir:
         master = sc.master or ""
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", master):      # local-cluster has executors of its own
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor can reach "
                                "(a machine-local folder cannot hold checkpoints on a cluster)")
         conf_dir = tempfile.mkdtemp(prefix="gridledger-ckpt-")
