@@ -138,6 +138,26 @@ def test_sketches_keep_order_and_occurrences():
     assert len(near_dedup.sketch(w[:0])) == 0 and len(near_dedup.sketch(w[:2])) == near_dedup.SKETCHES
 
 
+def test_near_copies_meet_in_a_bucket():
+    """Recall of the buckets by band of edit similarity, over pairs that alignment says are similar."""
+    rng = np.random.default_rng(8)
+    word = lambda: int(rng.integers(1, 2**60))
+    for n, floor in ((6, 1.0), (10, 1.0), (14, 1.0), (20, 0.9), (60, 0.95), (300, 0.95)):
+        for low in (0.8, 0.85, 0.9):
+            met = []
+            for _ in range(60):
+                a = [word() for _ in range(n)]
+                b = list(a)
+                for _ in range(near_dedup.most_edits(n, low)):
+                    kind, at = rng.integers(3), int(rng.integers(len(b)))
+                    b[at:at + (kind < 2)] = [word()] if kind else []
+                x, y = np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64)
+                if near_dedup.linked(x, y, near_dedup.SIMILARITY):
+                    assert near_dedup.share_enough(x, y, near_dedup.SIMILARITY)
+                    met.append(bool(np.intersect1d(near_dedup.bucket_keys(x), near_dedup.bucket_keys(y)).size))
+            assert len(met) > 40 and np.mean(met) >= floor, (n, low, np.mean(met))
+
+
 def test_needed_minima_keep_recall():
     r = np.random.default_rng(5)
     item = r.integers(0, 2**63, 60).astype(np.uint64)
