@@ -178,7 +178,8 @@ def _flag_files(store: Store, dataset: Dataset, ok: DataFrame,
         paths = [r[files.FILE_PATH] for r in order.select(files.FILE_PATH).distinct().collect()]
         if not paths:
             return None, None, None
-        raw = files.read_raw(store.spark, paths)
+        # what has landed was read whole once, under the limit of its ingest: none of it is left out here
+        raw = files.read_raw(store.spark, paths, None)
     good = raw.join(order, files.FILE_PATH)
     rows, header_status, empty_docs = _parse(dataset, good)
     flagged = contracts.flag(dataset.prepare(rows), dataset.contract).persist(StorageLevel.MEMORY_AND_DISK)
@@ -242,6 +243,11 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
             as_of: _dt.datetime, partial_on_rejects: bool = False,
             max_document_bytes: int = files.MAX_DOCUMENT_BYTES) -> IngestResult:
     spark = store.spark
+    # a stream's batch owns its number: its rows would be overwritten
+    if not store.runs().filter((F.col("source") == dataset.name) & (F.col(BATCH_SEQ) == int(batch_seq))
+                               & (F.col("status") != quality.FAILED)
+                               & F.col("run_id").startswith(f"{dataset.name}-stream-")).isEmpty():
+        raise ValueError(f"batch {batch_seq} of {dataset.name} was written by a stream")
     # every file is read from storage once: fingerprint, landing name, header and rows come from these bytes
     raw = files.read_raw(spark, paths, max_document_bytes).persist(StorageLevel.MEMORY_AND_DISK)
     # files above the document limit are never loaded; each fails on its own in the file ledger

@@ -112,7 +112,8 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> tuple
     """Read an exported JSON snapshot, tolerating a missing or corrupt file.
 
     Returns ``(rows, status)`` with status ``ok``, ``export_not_available``
-    (missing) or ``export_corrupt`` (no parseable record).
+    (missing) or ``export_corrupt`` (any record that does not parse: no part of
+    such a snapshot is answered).
     """
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -122,19 +123,20 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> tuple
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType(), True)])
     df = (spark.read.schema(with_corrupt).option("mode", "PERMISSIVE")
                .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    good = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    good = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     # one aggregate decides the status; a parsed column is referenced alongside the
     # corrupt-record column because Spark refuses queries on that column alone
     stats = df.agg(F.count_if(F.col("_corrupt_record").isNull()).alias("good"),
                    F.count(F.lit(1)).alias("n"),
                    F.count(F.col(schema.fields[0].name)).alias("_parsed")).first()
-    if stats["n"] > 0 and stats["good"] == 0:
+    if stats["good"] < stats["n"]:
         return spark.createDataFrame([], schema), "export_corrupt"
     return good, "ok"
 
 
-# Largest source document read whole into one row (bytes).
+# Largest source document read whole into one row (bytes); most fields of a line that Spark's CSV parser takes.
 MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
+CSV_MAX_FIELDS = 20480
 
 
 def oversized_files(spark: SparkSession, paths: Sequence[str], max_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:
@@ -188,20 +190,28 @@ def csv_from_content(raw: DataFrame, contract: Contract,
     rows and a ``header_error``. Data lines are parsed with ``from_csv`` and
     mapped to contract columns by header position; ``line_order`` is the exact
     line number in the file. Blank lines are skipped; quoted fields spanning
-    lines are not supported (the source format has none).
+    lines are not supported (the source format has none). Lines are parsed as
+    wide as the widest header of the files (one small aggregate over ``raw``),
+    unless ``max_columns`` is given; a header above ``CSV_MAX_FIELDS`` fails its
+    file by name.
     """
     wanted = list(contract.columns) + list(contract.optional)
-    width = max_columns or (len(wanted) + 16)
-    ddl = _fields_ddl(width)
     text = content_text()
     lines = F.split(text, r"\r?\n")
     # the header is parsed from the text up to the first newline, not from a second full split
     first_line = F.regexp_replace(F.substring_index(text, "\n", 1), r"\r$", "")
-    head = _as_array(F.from_csv(first_line, ddl), width)
+    # separators inside quotes count too: never less than the fields
+    commas = F.length(first_line) - F.length(F.replace(first_line, F.lit(","), F.lit("")))
+    too_wide = commas >= CSV_MAX_FIELDS
+    widest = 0 if max_columns else raw.agg(F.max(F.when(~too_wide, commas + 1))).first()[0]
+    width = max_columns or max(widest or 0, len(wanted))
+    ddl = _fields_ddl(width)
+    head = _as_array(F.from_csv(F.when(~too_wide, first_line), ddl), width)
     names = F.filter(F.transform(head, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
     extra = [c for c in ("_file_order",) if c in raw.columns]
-    per_file = (raw.select(FILE_PATH, FILE_NAME, *extra, lines.alias("_lines"), names.alias("header"))
-                   .withColumn("header_error", column_set_reason(F.col("header"), contract)))
+    per_file = (raw.select(FILE_PATH, FILE_NAME, *extra, lines.alias("_lines"), names.alias("header"), too_wide.alias("_wide"))
+                   .withColumn("header_error", F.when(F.col("_wide"), F.lit(f"header of more than {CSV_MAX_FIELDS} fields"))
+                                                .otherwise(column_set_reason(F.col("header"), contract))))
     file_status = per_file.select(FILE_PATH, "header", "header_error")
     body = (per_file.filter(F.col("header_error").isNull())
                     .select(FILE_PATH, FILE_NAME, *extra, "header",

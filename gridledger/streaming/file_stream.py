@@ -3,18 +3,21 @@
 A file-source stream picks up only files it has not seen (the checkpoint's
 file log replaces a hand-kept "already processed" list). Each micro-batch
 runs the same contract + normalise + change-log append as the batch job,
-with the micro-batch id as the change-log sequence; ``availableNow`` turns
-it into a catch-up job that processes everything new and stops.
+under the next free change-log sequence; ``availableNow`` turns it into a
+catch-up job that processes everything new and stops.
 
 Exactly-once: ``foreachBatch`` may re-run a batch after a failure. The
-ledger row keyed by ``(source, _batch_seq)`` is the commit marker; a batch
-that already has one is skipped, and rows of a half-written attempt stay
-invisible to readers (they filter on committed batches).
+ledger row of the run id ``<source>-stream-<writer>-<micro-batch>`` is the
+commit marker; a micro-batch that already has one that did not fail is
+skipped, and rows of a half-written attempt stay invisible to readers (they
+filter on committed batches). Other writers' numbers, a batch run's or
+another stream's, are never taken for one's own.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -29,28 +32,40 @@ from ..plans.ingest import RUN_SCHEMA, Store
 from ..sources import files
 
 
-def _already_committed(store: Store, source: str, batch_seq: int) -> bool:
+def _next_batch(store: Store, source: str, run_id: str, least: int) -> int | None:
+    """The change-log sequence of a micro-batch, after all that other runs used; None if its run is committed."""
     if not store.exists("ledger", "runs"):       # first batch ever: nothing to look up
-        return False
-    runs = store.runs()
-    return runs.filter((F.col("source") == source) & (F.col(BATCH_SEQ) == batch_seq)).limit(1).count() > 0
+        return least
+    mine = (F.col("run_id") == run_id) & (F.col("status") != quality.FAILED)
+    found = store.runs().filter(F.col("source") == source) \
+                 .agg(F.count_if(mine).alias("done"), F.max(BATCH_SEQ).alias("last")).first()
+    if found["done"]:
+        return None
+    return least if found["last"] is None else max(least, int(found["last"]) + 1)
+
+
+def _writer(checkpoint: str) -> str:
+    """A stream's identity: its checkpoint numbers its micro-batches."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
 def upsert_batches(store: Store, source: str, keys: Sequence[str], date_col: str,
                    prepare: Callable[[DataFrame], DataFrame], order_cols: Sequence[str],
                    as_of: _dt.datetime, contract: contracts.Contract | None = None,
                    finish: Callable[[DataFrame], DataFrame] | None = None,
-                   batch_offset: int = 0) -> Callable[[DataFrame, int], None]:
+                   batch_offset: int = 0, writer: str = "0") -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: validate, dedup keep-last, append to the change log, commit.
 
     ``prepare`` types the raw batch, ``contract`` (optional) splits off the
     quarantine, ``finish`` (optional) projects accepted rows to fact rows.
+    ``writer`` tells this stream's micro-batches from those of others.
     """
     log = ChangeLog(store.spark, store.path("facts", source), keys, date_col)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        seq = int(batch_offset) + int(batch_id)
-        if _already_committed(store, source, seq):
+        run_id = f"{source}-stream-{writer}-{int(batch_offset) + int(batch_id)}"
+        seq = _next_batch(store, source, run_id, int(batch_offset) + int(batch_id))
+        if seq is None:
             return
         rows = prepare(batch)
         n_bad = 0
@@ -69,7 +84,7 @@ def upsert_batches(store: Store, source: str, keys: Sequence[str], date_col: str
         n_in = written["rows_in"] + n_bad
         n_keys = written["rows_written"]
         row = {f.name: None for f in RUN_SCHEMA.fields}
-        row.update(run_id=f"{source}-stream-{seq}", source=source, **{BATCH_SEQ: seq}, started_at=as_of,
+        row.update(run_id=run_id, source=source, **{BATCH_SEQ: seq}, started_at=as_of,
                    finished_at=as_of, status=quality.SUCCESS, records_in=n_in, records_accepted=n_keys,
                    records_quarantined=n_bad, records_deduplicated=n_in - n_bad - n_keys)
         store.spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").parquet(store.path("ledger", "runs"))
@@ -105,7 +120,7 @@ def start_csv_stream(store: Store, dataset: Dataset, source_dir: str, checkpoint
                        .withColumn(dataset.date_col, F.to_date(F.col(dataset.date_source)))
 
     fn = upsert_batches(store, dataset.name, dataset.keys, dataset.date_col, prepare,
-                        ["_line_order"], as_of, contract=dataset.contract, finish=finish)
+                        ["_line_order"], as_of, contract=dataset.contract, finish=finish, writer=_writer(checkpoint))
     return (raw.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
 
@@ -131,6 +146,6 @@ def stream_table_upsert(store: Store, table_path: str, source: str, keys: Sequen
         reader = reader.option("pathGlobFilter", jpath.getName())
         table_path = jpath.getParent().toString()
     raw = reader.parquet(table_path)
-    fn = upsert_batches(store, source, keys, date_col, project, order_cols, as_of)
+    fn = upsert_batches(store, source, keys, date_col, project, order_cols, as_of, writer=_writer(checkpoint))
     return (raw.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
