@@ -127,6 +127,8 @@ def fit(docs: DataFrame, max_docs: int = SAMPLE_DOCS) -> MarkovPair:
             for kind, tokens in (("random", values), ("ordinary", other)):
                 c = pair_counts(tokens)
                 at = np.argwhere(c > 0)
+                if len(at) == 0:       # a batch without strings of a kind: an empty frame has no string column
+                    continue
                 yield pd.DataFrame({"kind": [kind] * len(at), "a": at[:, 0], "b": at[:, 1], "n": c[at[:, 0], at[:, 1]]})
 
     counts = {k: np.zeros((SIZE, SIZE)) for k in ("random", "ordinary")}

@@ -1,6 +1,7 @@
 """Every operator over the small tables against brute force, and over odd and empty rows."""
 
 import hashlib
+import re
 from collections import Counter
 
 import numpy as np
@@ -114,6 +115,33 @@ def test_toxicity_and_spans_on_odd_rows(docs, labels, odd, empty, tagger):
     assert secrets.scan(empty, model).count() == 0 and pii.scan(empty, tagger).count() == 0
 
 
+def test_secrets_fit_on_batches_without_strings(spark):
+    rows = [(1, "plain words alone here"), (2, ""), (3, None), (4, "token: Zx81qPw0"), (5, "a b")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for part in (frame.where("doc_id = 1"), frame.where("doc_id = 2"), frame.where("doc_id = 3"), frame.repartition(5)):
+        out = {r.doc_id: r for r in secrets.scan(part).collect()}
+        assert len(out) == part.count()
+        assert all(r.spans == ("assign:0:15" if i == 4 else "") for i, r in out.items())
+
+
+def test_secret_base_digests_equal_plain_patterns(docs):
+    def spans(text):
+        found = [("assign", m.start(), m.end()) for m in re.finditer(
+            r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A)
+            if len(m[1]) >= 6]
+        found += [("access", m.start(), m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        found += [("hex", m.start(), m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+        order = ["assign", "access", "hex"]
+        return sorted(found, key=lambda s: (s[1], order.index(s[0])))
+
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in secrets.scan(docs).collect():
+        want = spans(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for k, *_ in want) for x in ("assign", "access", "hex")]
+        assert {f"{k}:{a}:{b}" for k, a, b in want} <= set(r.spans.split(",")) | {""}
+
+
 def test_token_counts(docs, odd, empty):
     counter = token_counts.PrefixCounter.of(token_counts.model_path())
     texts = {r.doc_id: r.text for r in docs.collect()}
