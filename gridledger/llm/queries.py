@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, hilbert, language, near_dedup, packing, pii, quality, secrets, simhash, token_counts, toxicity)
+from . import (decontaminate, hilbert, language, mergepath, near_dedup, packing, pii, quality, secrets, simhash, token_counts, toxicity)
 from .common import table
 
 
@@ -61,6 +61,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of both tokenizers' tokens in every document."""
+    return mergepath.align_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document along a Hilbert curve over language, source and size."""
     return hilbert.assign(table(spark, sf_dir, "documents"))
@@ -68,7 +73,7 @@ def op13_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_secrets, op3_packing, op4_pii, op5_simhash, op6_decontamination, op7_language, op8_near_dedup,
-    op9_quality, op10_token_counts, op13_hilbert)}
+    op9_quality, op10_token_counts, op12_alignment, op13_hilbert)}
 
 _SHINGLES_SQL = """
   SELECT {id}, CASE WHEN len(w) = 0 THEN []
