@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, hilbert, language, mergepath, near_dedup, packing, pii, quality, secrets, simhash, token_counts, toxicity)
+from . import (collocations, decontaminate, hilbert, language, mergepath, near_dedup, packing, pii, quality, secrets, simhash, token_counts, toxicity)
 from .common import table
 
 
@@ -61,6 +61,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best phrases of two and three words."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignment of both tokenizers' tokens in every document."""
     return mergepath.align_documents(table(spark, sf_dir, "documents"))
@@ -73,7 +78,7 @@ def op13_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_secrets, op3_packing, op4_pii, op5_simhash, op6_decontamination, op7_language, op8_near_dedup,
-    op9_quality, op10_token_counts, op12_alignment, op13_hilbert)}
+    op9_quality, op10_token_counts, op11_collocations, op12_alignment, op13_hilbert)}
 
 _SHINGLES_SQL = """
   SELECT {id}, CASE WHEN len(w) = 0 THEN []
@@ -90,6 +95,7 @@ bs AS (SELECT item_id, len(s) AS n, unnest(s) AS x FROM b),
 p AS (SELECT doc_id, item_id, n, count(*) AS f FROM ds JOIN bs USING (x) GROUP BY ALL)
 SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_shingles, CAST(f AS BIGINT) AS n_found, f / n AS containment
 FROM p WHERE f >= 0.8 * n""",
+    "op11_collocations": collocations.SQL,
 }
 
 
