@@ -46,6 +46,7 @@ class Dataset:
     explode: str | None = None                 # array column flattened after the scan
     parents: tuple[str, ...] = ()
     order_cols: tuple[str, ...] = ("_file_order", "_line_order")
+    max_gap_seconds: int | None = None         # a grid: readings of a series (keys but the last) this far apart at most
 
 
 # ---------------------------------------------------------------- load (CSV)
@@ -92,6 +93,7 @@ LOAD = Dataset(
     finish=_load_finish,
     landing="immutable",
     watermark="data",
+    max_gap_seconds=3600,
 )
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import quality
 from ..operators.upsert import BATCH_SEQ, write_batch
 from .datasets import LOAD, Dataset
-from .ingest import RUN_SCHEMA, Store
+from .ingest import Store
 
 SWEEP_SOURCE = "quality_sweep"
 
@@ -46,9 +46,7 @@ def run_quality_sweep(store: Store, run_id: str, batch_seq: int, as_of: _dt.date
         status, error = quality.FAILED, str(exc)
         raise
     finally:
-        row = {f.name: None for f in RUN_SCHEMA.fields}
-        row.update(run_id=run_id, source=SWEEP_SOURCE, **{BATCH_SEQ: int(batch_seq)}, started_at=as_of,
-                   finished_at=as_of, status=status, error=error)
-        spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").parquet(store.path("ledger", "runs"))
+        store.record_run(run_id=run_id, source=SWEEP_SOURCE, **{BATCH_SEQ: int(batch_seq)}, started_at=as_of,
+                         finished_at=as_of, status=status, error=error)
     return spark.read.parquet(store.path("ledger", "checks")).filter(
         (F.col("source") == SWEEP_SOURCE) & (F.col(BATCH_SEQ) == int(batch_seq)))

@@ -66,6 +66,18 @@ def apply_sql_settings(spark: SparkSession) -> None:
         spark.conf.set(k, SESSION_DEFAULTS[k])
 
 
+def broadcast_if_small(df, max_rows: int = 200_000, known_rows: int | None = None):
+    """``df`` with a broadcast hint if it has ``max_rows`` narrow rows at most; else as it is, for a shuffle join.
+
+    For metadata frames (file lists, commit records): counting them is cheap, and without the hint the other side,
+    which holds the data, would be shuffled before its size is known. ``known_rows`` is a bound that the caller has
+    counted already.
+    """
+    from pyspark.sql import functions as F
+    rows = df.limit(max_rows + 1).count() if known_rows is None else known_rows
+    return F.broadcast(df) if rows <= max_rows else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for lineage cuts and scratch output.
 

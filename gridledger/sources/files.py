@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import content_sha
 from ..functions.rules import null_tokens_to_null
 from ..operators.contracts import Contract, column_set_reason
+from ..session import scratch_path
 
 FILE_PATH = "source_path"
 FILE_NAME = "source_file"
@@ -31,55 +31,107 @@ def _file_name(path_col) -> F.Column:
     return F.regexp_extract(path_col, r"([^/]+)$", 1)
 
 
-def scan_checked_csv(spark: SparkSession, paths: Sequence[str], contract: Contract,
-                     max_columns: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Header-check and scan headered CSV files in one read: ``(rows, file_status, scan)``.
-
-    Every line is parsed positionally into ``max_columns`` string fields
-    (default: the contract's columns + 16). Each file's header is its first
-    line -- the ``min_by`` over scan order among rows of the file's first
-    split, a map-side-combined aggregate -- and is checked against the
-    contract (missing columns; extra ones when strict). Data rows are then
-    mapped to contract columns *by header position*, so files may order
-    their columns differently; rows of failing files and the header lines
-    themselves are dropped. The positional scan is persisted
-    (``MEMORY_AND_DISK``) because both the header aggregate and the rows read
-    it: files are read from storage once (a lost block is recomputed from the
-    files). ``scan`` is that persisted frame; ``unpersist()`` it when done.
-    The per-file header frame has one row per file: joining it back is a
-    broadcast once AQE has measured it small, a sort-merge join otherwise.
-    A required column beyond ``max_columns`` in a non-strict file is reported
-    missing; raise ``max_columns`` for very wide files.
+# Fixed value: a header of more fields than this is not taken for a header.
+CSV_MAX_FIELDS = 20480
+
+
+def csv_fields(line: Column) -> Column:
+    """All fields of one CSV line, however many it has.
+
+    A field that starts with a quote runs to the quote that closes it: separators in it are its own, a doubled quote
+    is one quote. A quote inside a field that does not start with one is a character like others. Lines without a
+    quote (nearly all) are split at the separators alone.
     """
-    wanted = list(contract.columns) + list(contract.optional)
-    width = max_columns or (len(wanted) + 16)
-    fields = [f"_f{i}" for i in range(width)]
-    raw = (spark.read.schema(string_schema(fields)).option("header", False).option("mode", "PERMISSIVE")
-                .csv(list(paths))
-                .select(F.array(*fields).alias("_fields"),
-                        F.col("_metadata.file_path").alias(FILE_PATH),
-                        F.col("_metadata.file_block_start").alias("_blk"),
-                        F.monotonically_increasing_id().alias("_id"))
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    headers = (raw.filter(F.col("_blk") == 0).groupBy(FILE_PATH)
-                  .agg(F.min_by(F.struct("_fields", "_id"), F.col("_id")).alias("_h")))
-    names = F.filter(F.transform(F.col("_h._fields"),
-                                 lambda x: F.trim(F.regexp_replace(x, "^\ufeff", ""))),
-                     lambda x: x.isNotNull() & (x != ""))
-    status = (headers.select(F.col(FILE_PATH).alias("_hp"), names.alias("header"), F.col("_h._id").alias("_hid"))
-                     .withColumn("header_error", column_set_reason(F.col("header"), contract)))
-    joined = raw.join(status, raw[FILE_PATH] == status["_hp"])
-    body = joined.filter(F.col("header_error").isNull()
-                         & ~((F.col("_blk") == 0) & (F.col("_id") == F.col("_hid"))))
+    def join(acc: Column, piece: Column) -> Column:
+        cur = F.when(acc["open"], F.concat(acc["cur"], F.lit(","), piece)).otherwise(piece)
+        quotes = F.length(cur) - F.length(F.replace(cur, F.lit('"'), F.lit("")))
+        still = cur.startswith('"') & (quotes % 2 == 1)
+        return F.struct(F.when(still, acc["fields"]).otherwise(F.concat(acc["fields"], F.array(cur))).alias("fields"),
+                        still.alias("open"), F.when(still, cur).otherwise(F.lit("")).alias("cur"))
+
+    start = F.struct(F.array().cast("array<string>").alias("fields"), F.lit(False).alias("open"), F.lit("").alias("cur"))
+    joined = F.aggregate(F.split(line, ",", -1), start, join,
+                         lambda acc: F.when(acc["open"], F.concat(acc["fields"], F.array(acc["cur"]))).otherwise(acc["fields"]))
+
+    def bare(x: Column) -> Column:
+        inner = F.when(x.endswith('"') & (F.length(x) > 1), F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(F.substring(x, F.lit(2), F.length(x)))
+        return F.when(x.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(x)
+
+    return F.when(F.contains(line, F.lit('"')), F.transform(joined, bare)).otherwise(F.split(line, ",", -1))
+
+
+def _header(fields: Column, contract: Contract) -> tuple[Column, Column]:
+    """Column names by position and, for a header that the contract refuses, the reason."""
+    names = F.transform(fields, lambda x: F.trim(F.regexp_replace(x, "^\ufeff", "")))
+    known = F.filter(names, lambda x: x != "")
+    error = F.when(F.size(fields) > CSV_MAX_FIELDS, F.lit(f"header of more than {CSV_MAX_FIELDS} fields")) \
+             .otherwise(column_set_reason(known, contract))
+    return names, error
+
+
+def _by_name(fields: Column, header: Column, contract: Contract) -> list[Column]:
+    """The contract's columns of a line, found by their position in the file's header; a short line's are NULL."""
     cols = []
-    for c in wanted:
-        pos = F.array_position(F.col("header"), c).cast("int")
-        cols.append(null_tokens_to_null(F.when(pos > 0, F.element_at(F.col("_fields"), pos))).alias(c))
-    rows = body.select(*cols, F.col(FILE_PATH),
-                       _file_name(F.col(FILE_PATH)).alias(FILE_NAME),
-                       F.struct(F.col("_blk").alias("block"), F.col("_id").alias("pos")).alias(LINE_ORDER))
-    file_status = status.select(F.col("_hp").alias(FILE_PATH), "header", "header_error")
-    return rows, file_status, raw
+    for c in list(contract.columns) + list(contract.optional):
+        pos = F.array_position(header, c).cast("int")
+        cols.append(null_tokens_to_null(F.when(pos > 0, F.get(fields, pos - 1))).alias(c))
+    return cols
+
+
+def scan_checked_csv(spark: SparkSession, paths: Sequence[str], contract: Contract) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Header-check and scan headered CSV files of any size and width: ``(rows, file_status, scan)``.
+
+    Files are read as lines, so that a large one is split over tasks. Each file's header is its first line -- the
+    ``min_by`` over scan order among rows of the file's first split, a map-side-combined aggregate -- and is
+    checked against the contract (missing columns; extra ones when strict). Lines are parsed into as many fields as
+    they have and mapped to contract columns *by header position*, so files may order their columns differently;
+    rows of failing files are dropped, blank lines are skipped, a line that repeats its file's header word for word is
+    no data either, and ``line_order`` orders a file's rows as its lines.
+
+    The headers are written once to the shared folder, one row per file. A map of at most ``HEADER_MAP_FILES``
+    headers goes along with the plan, so that no line is shuffled to meet its header; beyond that the headers are
+    joined. ``scan`` is the frame of lines.
+    """
+    lines = (spark.read.option("lineSep", "\n").text(list(paths))
+             .select(F.regexp_replace("value", "\r$", "").alias("_line"), F.col("_metadata.file_path").alias(FILE_PATH),
+                     F.col("_metadata.file_block_start").alias("_blk"), F.monotonically_increasing_id().alias("_id")))
+    first = lines.filter(F.col("_blk") == 0).groupBy(FILE_PATH).agg(F.min_by("_line", "_id").alias("_first"), F.min("_id").alias("_hid"))
+    names, error = _header(csv_fields(F.col("_first")), contract)
+    path = scratch_path(spark, "csv-headers")
+    first.select(FILE_PATH, names.alias("header"), error.alias("header_error"), F.col("_first").alias("header_line")).write.parquet(path)
+    status = spark.read.parquet(path)
+    good = status.filter(F.col("header_error").isNull()).select(FILE_PATH, "header", "header_line")
+    body = _with_header(lines.filter(F.trim("_line") != ""), good).filter(F.col("_line") != F.col("header_line"))
+    rows = (body.withColumn("_fields", csv_fields(F.col("_line")))
+                .select(*_by_name(F.col("_fields"), F.col("header"), contract), F.col(FILE_PATH),
+                        _file_name(F.col(FILE_PATH)).alias(FILE_NAME),
+                        F.struct(F.col("_blk").alias("block"), F.col("_id").alias("pos")).alias(LINE_ORDER)))
+    return rows, status.drop("header_line"), lines
+
+
+# Fixed value: most headers that a plan carries as literals.
+HEADER_MAP_FILES = 1000
+
+
+def _with_header(lines: DataFrame, headers: DataFrame) -> DataFrame:
+    """``lines`` of the files in ``headers``, with the other columns of ``headers`` (arrays of text or text)."""
+    names = [c for c in headers.columns if c != FILE_PATH]
+    found = headers.limit(HEADER_MAP_FILES + 1).collect()
+    if len(found) > HEADER_MAP_FILES:
+        return lines.join(headers, FILE_PATH)
+    # files of one batch mostly have the same header: one literal per distinct header
+    by_header: dict[tuple, list[str]] = {}
+    for r in found:
+        by_header.setdefault(tuple(tuple(v) if isinstance(v, list) else v for v in (r[n] for n in names)), []).append(r[FILE_PATH])
+    kinds = {f.name: f.dataType for f in headers.schema.fields}
+    out = lines.filter(F.col(FILE_PATH).isin([p for ps in by_header.values() for p in ps]) if found else F.lit(False))
+    for i, name in enumerate(names):
+        value = F.lit(None).cast(kinds[name])
+        for key, paths in by_header.items():
+            literal = F.array(*[F.lit(v) for v in key[i]]) if isinstance(key[i], tuple) else F.lit(key[i])
+            value = literal if len(by_header) == 1 else F.when(F.col(FILE_PATH).isin(paths), literal).otherwise(value)
+        out = out.withColumn(name, value)
+    return out
 
 
 def scan_json(spark: SparkSession, paths: Sequence[str], schema: T.StructType,
@@ -134,13 +186,8 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> tuple
     return good, "ok"
 
 
-# Largest source document read whole into one row (bytes); most fields of a line that Spark's CSV parser takes.
-MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
-CSV_MAX_FIELDS = 20480
-
-
-def oversized_files(spark: SparkSession, paths: Sequence[str], max_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:
-    """Files above the document limit, listed without reading their content.
+def oversized_files(spark: SparkSession, paths: Sequence[str], max_bytes: int) -> DataFrame:
+    """Files above a document limit, listed without reading their content.
 
     ``binaryFile`` pushes the ``length`` filter down and reads no bytes when
     ``content`` is not selected.
@@ -150,15 +197,12 @@ def oversized_files(spark: SparkSession, paths: Sequence[str], max_bytes: int =
         F.col("path").alias(FILE_PATH), _file_name(F.col("path")).alias(FILE_NAME), F.col("length"))
 
 
-def read_raw(spark: SparkSession, paths: Sequence[str], max_bytes: int | None = MAX_DOCUMENT_BYTES) -> DataFrame:
-    """One row per file with its bytes: the unit of landing for small source documents.
+def read_raw(spark: SparkSession, paths: Sequence[str], max_bytes: int | None = None) -> DataFrame:
+    """One row per file with its whole bytes, for small source documents.
 
-    ``(source_path, source_file, content_sha, length, modified_at, content)``. Ingest
-    persists this frame and derives the fingerprint, the landing name, the
-    header check and the parsed rows from it, so every file is read from
-    storage exactly once. Files above ``max_bytes`` are skipped without being
-    read (see ``oversized_files``); very large CSVs belong on
-    ``scan_checked_csv`` instead.
+    ``(source_path, source_file, content_sha, length, modified_at, content)``. Files above
+    ``max_bytes`` (if given) are skipped without being read (see ``oversized_files``). Ingest lands
+    files of any size in pieces: ``sources.raw_zone``.
     """
     df = spark.read.format("binaryFile").load(list(paths))
     if max_bytes is not None:
@@ -168,71 +212,72 @@ def read_raw(spark: SparkSession, paths: Sequence[str], max_bytes: int | None =
                      F.col("modificationTime").alias("modified_at"), F.col("content"))
 
 
-def content_text(col: str = "content") -> F.Column:
-    """File bytes as UTF-8 text without a leading byte-order mark."""
-    return F.regexp_replace(F.decode(F.col(col), "UTF-8"), "^\ufeff", "")
-
-
-def _fields_ddl(width: int) -> str:
-    return ", ".join(f"_f{i} STRING" for i in range(width))
+def content_text(col: str = "content") -> Column:
+    """File bytes as text without a leading byte-order mark (bytes that are not UTF-8 stay as they are)."""
+    return F.regexp_replace(F.col(col).cast("string"), "^\ufeff", "")
 
 
-def _as_array(struct_col: F.Column, width: int) -> F.Column:
-    return F.array(*[struct_col.getField(f"_f{i}") for i in range(width)])
+def csv_from_content(raw: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """Parse headered CSV documents held whole as bytes: ``(rows, file_status)``; see ``csv_from_chunks``."""
+    whole = raw.withColumn("chunk_no", F.lit(0).cast("bigint")).withColumn("n_chunks", F.lit(1).cast("bigint"))
+    return csv_from_chunks(whole.withColumnRenamed("content", "bytes"), contract, any_large=False)
 
 
-def csv_from_content(raw: DataFrame, contract: Contract,
-                     max_columns: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Parse headered CSV documents held as bytes: ``(rows, file_status)``.
+def csv_from_chunks(chunks: DataFrame, contract: Contract, any_large: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Parse headered CSV documents held as chunks that start at line starts: ``(rows, file_status)``.
 
-    Per file (one row each, no shuffle): split into lines, parse the first line
-    as the header and check it against the contract; a failing file yields no
-    rows and a ``header_error``. Data lines are parsed with ``from_csv`` and
-    mapped to contract columns by header position; ``line_order`` is the exact
-    line number in the file. Blank lines are skipped; quoted fields spanning
-    lines are not supported (the source format has none). Lines are parsed as
-    wide as the widest header of the files (one small aggregate over ``raw``),
-    unless ``max_columns`` is given; a header above ``CSV_MAX_FIELDS`` fails its
-    file by name.
+    The first line of a file's first chunk is its header, checked against the contract; a failing file yields no
+    rows and a ``header_error``. A file of one chunk finds its header in its own row; the chunks of larger files get
+    it through ``_with_header``, so no chunk is shuffled. Data lines are parsed into as many fields as they have and
+    mapped by header position. ``line_order`` ascends with the lines of a file; in a file of one chunk it is the line
+    number. Blank lines are skipped; quoted fields spanning lines are not supported (the source format has none).
+    ``any_large=False`` tells that every file is one chunk.
     """
-    wanted = list(contract.columns) + list(contract.optional)
-    text = content_text()
-    lines = F.split(text, r"\r?\n")
-    # the header is parsed from the text up to the first newline, not from a second full split
-    first_line = F.regexp_replace(F.substring_index(text, "\n", 1), r"\r$", "")
-    # separators inside quotes count too: never less than the fields
-    commas = F.length(first_line) - F.length(F.replace(first_line, F.lit(","), F.lit("")))
-    too_wide = commas >= CSV_MAX_FIELDS
-    widest = 0 if max_columns else raw.agg(F.max(F.when(~too_wide, commas + 1))).first()[0]
-    width = max_columns or max(widest or 0, len(wanted))
-    ddl = _fields_ddl(width)
-    head = _as_array(F.from_csv(F.when(~too_wide, first_line), ddl), width)
-    names = F.filter(F.transform(head, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
-    extra = [c for c in ("_file_order",) if c in raw.columns]
-    per_file = (raw.select(FILE_PATH, FILE_NAME, *extra, lines.alias("_lines"), names.alias("header"), too_wide.alias("_wide"))
-                   .withColumn("header_error", F.when(F.col("_wide"), F.lit(f"header of more than {CSV_MAX_FIELDS} fields"))
-                                                .otherwise(column_set_reason(F.col("header"), contract))))
-    file_status = per_file.select(FILE_PATH, "header", "header_error")
-    body = (per_file.filter(F.col("header_error").isNull())
-                    .select(FILE_PATH, FILE_NAME, *extra, "header",
-                            F.posexplode("_lines").alias("_pos", "_line"))
-                    .filter((F.col("_pos") > 0) & (F.trim(F.col("_line")) != "")))
-    fields = _as_array(F.from_csv(F.col("_line"), ddl), width)
-    cols = []
-    for c in wanted:
-        pos = F.array_position(F.col("header"), c).cast("int")
-        cols.append(null_tokens_to_null(F.when(pos > 0, F.element_at(fields, pos))).alias(c))
-    rows = body.select(*cols, FILE_PATH, FILE_NAME, *extra,
-                       (F.col("_pos") + 1).cast("bigint").alias(LINE_ORDER))
+    extra = [c for c in ("_file_order",) if c in chunks.columns]
+    text = content_text("bytes")
+    first_line = F.regexp_replace(F.substring_index(text, "\n", 1), "\r$", "")
+    names, error = _header(csv_fields(first_line), contract)
+    headed = chunks.filter(F.col("chunk_no") == 0)
+    file_status = headed.select(FILE_PATH, names.alias("header"), error.alias("header_error"))
+    keep = [FILE_PATH, FILE_NAME, *extra, "chunk_no", "bytes"]
+    single = (chunks.filter(F.col("n_chunks") == 1).select(*keep, names.alias("header"), error.alias("_error"))
+                    .filter(F.col("_error").isNull()).drop("_error"))
+    pieces = single
+    if any_large:
+        large = (headed.filter(F.col("n_chunks") > 1).select(FILE_PATH, names.alias("header"), error.alias("header_error"))
+                       .filter(F.col("header_error").isNull()).drop("header_error"))
+        split = _with_header(chunks.filter(F.col("n_chunks") > 1).select(*keep), large)
+        pieces = single.unionByName(split.select(*single.columns))
+    lines = F.split(text, "\r?\n", -1)
+    body = (pieces.select(FILE_PATH, FILE_NAME, *extra, "header", "chunk_no", F.posexplode(lines).alias("_pos", "_line"))
+                  .filter(((F.col("_pos") > 0) | (F.col("chunk_no") > 0)) & (F.trim(F.col("_line")) != "")))
+    order = F.shiftleft(F.col("chunk_no").cast("bigint"), 32) + F.col("_pos") + 1
+    rows = body.withColumn("_fields", csv_fields(F.col("_line"))).select(
+        *_by_name(F.col("_fields"), F.col("header"), contract), FILE_PATH, FILE_NAME, *extra, order.cast("bigint").alias(LINE_ORDER))
     return rows, file_status
 
 
-def json_from_content(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Parse one JSON document per file held as bytes, with a fixed schema.
+CORRUPT = "_corrupt_document"
+
+
+def json_documents(raw: DataFrame, schema: T.StructType, text: Column | None = None) -> DataFrame:
+    """Parse one JSON document per row: its path, name, order, ``_doc`` and, where it does not parse, its text.
 
-    Missing fields are NULL, unknown fields ignored; a malformed document gives
-    a row of NULLs, which the contract then quarantines rather than dropping.
+    A document is malformed (``_corrupt_document`` holds its text) if it is not one JSON object, is cut short or
+    empty, or has a value that the schema's type cannot hold, such as text where an array of readings belongs.
+    Missing fields are NULL, unknown fields ignored.
     """
-    doc = F.from_json(content_text(), schema, {"mode": "PERMISSIVE"})
+    text = content_text() if text is None else text
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    doc = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     keep = [c for c in (FILE_PATH, FILE_NAME, "_file_order") if c in raw.columns]
-    return raw.select(*keep, doc.alias("_doc")).select(*keep, "_doc.*")
+    parsed = raw.select(*keep, text.alias("_text"), doc.alias("_doc"))
+    corrupt = F.when(F.col("_doc").isNull() | F.col(f"_doc.{CORRUPT}").isNotNull(), F.coalesce(F.col("_text"), F.lit("")))
+    return parsed.select(*keep, F.col("_doc").dropFields(CORRUPT).alias("_doc"), corrupt.alias(CORRUPT))
+
+
+def json_from_content(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """The fields of well-formed JSON documents held as bytes, one row per document (see ``json_documents``)."""
+    docs = json_documents(raw, schema)
+    keep = [c for c in docs.columns if c not in ("_doc", CORRUPT)]
+    return docs.filter(F.col(CORRUPT).isNull()).select(*keep, "_doc.*")
