@@ -23,6 +23,7 @@ bit-identical doubles; DuckDB integer sums/counts are cast to BIGINT.
 
 from __future__ import annotations
 
+import datetime as _datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,7 @@ from ..functions.timeparse import US_DATETIME, parse_iso_instant
 from ..operators import accuracy, contracts, landing, normalize, quality, reads, reconcile, upsert
 from ..session import apply_sql_settings, materialize, scratch_path
 from ..sources import files
+from .datasets import Dataset
 
 # Query parameters (dates inside the events table's January 2024 span).
 EVENT_KEYS = ("click", "purchase", "signup", "view")
@@ -53,6 +55,7 @@ BULK_SPAN_DAYS = 2
 MONEY_DIGITS = 4          # prices and discounts carry 2 decimals each: errors are exact at 4
 RATIO_DIGITS = 9
 VALUE_DIGITS = 4
+FILES_AS_OF = _datetime.datetime(2024, 2, 1)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -226,7 +229,7 @@ def q_scan_csv(spark, sf_dir):
     out = scratch_path(spark, "scan-csv")
     _events_as_text(_t(spark, sf_dir, "events")).write.option("header", True).csv(out)
     contract = contracts.Contract("events_csv", tuple(EVENT_COLUMNS), (), strict=True)
-    rows, _status, _scan = files.scan_checked_csv(spark, [out], contract)
+    rows, _status, _scan = files.scan_checked_csv(spark, [out], contract, escape="\\")
     return _typed_events(rows)
 
 
@@ -574,6 +577,72 @@ def q_stream_upsert(spark, sf_dir):
     return log.current(committed).select("user_id", "hour", "event_id", "value")
 
 
+# ---------------------------------------------------------------- files through the store
+
+FILE_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value")
+ABSENT_TYPE = "refund"            # requested, never delivered
+
+
+def _event_files_dataset():
+    """Events as a dataset of CSV files: every accepted event is a fact of its own."""
+    def prepare(df):
+        return (df.withColumn("event_id_n", F.col("event_id").try_cast("bigint")).withColumn("ts_n", F.col("ts").try_cast("timestamp_ntz"))
+                  .withColumn("user_id_n", F.col("user_id").try_cast("bigint")).withColumn("value_n", R.try_number("value")))
+
+    def finish(df):
+        return df.select(F.col("event_id_n").alias("event_id"), F.col("ts_n").alias("ts"), F.col("user_id_n").alias("user_id"),
+                         "event_type", F.col("value_n").alias("value"), files.FILE_NAME)
+
+    rules = (R.not_null("event_id_n"), R.not_null("ts_n"), R.coerced("value", "value_n", "double"), R.ge("value_n", 1), R.le("value_n", 100))
+    return Dataset(name="event_files", fmt="csv", contract=contracts.Contract("event_files", FILE_COLUMNS, rules), keys=("event_id",),
+                   date_col="event_date", date_source="ts", fact_columns=("event_id", "ts", "user_id", "event_type", "value"),
+                   prepare=prepare, finish=finish, landing="immutable")
+
+
+def _deliver_event_files(spark, sf_dir, base):
+    """All events as headered CSV files by type; each type has its columns in an order of its own, errors lack the value."""
+    ev = _t(spark, sf_dir, "events").select(*[F.col(c).cast("string").alias(c) for c in FILE_COLUMNS])
+    for i, kind in enumerate((*EVENT_KEYS, "error")):
+        order = [c for c in FILE_COLUMNS[i:] + FILE_COLUMNS[:i] if not (kind == "error" and c == "value")]
+        mine = ev.filter(F.col("event_type") == kind) if kind != "error" else \
+            ev.filter(F.col("event_type").isNull() | ~F.col("event_type").isin(*EVENT_KEYS))
+        mine.select(*order).write.option("header", True).csv(f"{base}/{kind}")
+    return [f"{base}/{kind}/*.csv" for kind in (*EVENT_KEYS, "error", ABSENT_TYPE)]
+
+
+def q_stream_files(spark, sf_dir):
+    """Delivered CSV files streamed through the checked ingest: headers by name, bad files fail alone."""
+    from ..streaming.file_stream import start_stream
+    from .ingest import Store
+    store, dataset = Store(spark, scratch_path(spark, "stream-files")), _event_files_dataset()
+    _deliver_event_files(spark, sf_dir, store.path("delivered"))
+    start_stream(store, dataset, store.path("delivered", "*", "*.csv"), store.path("_checkpoint"), FILES_AS_OF).awaitTermination()
+    return store.current_facts(dataset).select(*dataset.fact_columns)
+
+
+def q_rebuild_raw(spark, sf_dir):
+    """Facts rebuilt from the raw zone's bytes, by hash."""
+    from .ingest import Store, ingest, rebuild
+    store, dataset = Store(spark, scratch_path(spark, "rebuild-raw")), _event_files_dataset()
+    ingest(store, dataset, _deliver_event_files(spark, sf_dir, store.path("delivered")), "load", 1, FILES_AS_OF)
+    rebuild(store, dataset, "rebuild", FILES_AS_OF, write_base=True)
+    return store.read("rebuilt", dataset.name).select(*dataset.fact_columns)
+
+
+def q_backfill_files(spark, sf_dir):
+    """Requested file sets against what was delivered: per set its status, first error and accepted rows."""
+    from .ingest import Store, ingest
+    store, dataset = Store(spark, scratch_path(spark, "backfill-files")), _event_files_dataset()
+    done = ingest(store, dataset, _deliver_event_files(spark, sf_dir, store.path("delivered")), "backfill", 1, FILES_AS_OF)
+    kind = F.regexp_extract("requested", r"/([^/]+)/[^/]*$", 1).alias("event_type")
+    error = F.coalesce("landing_error", "header_error")
+    status = done.files.groupBy(kind).agg(F.max("file_status").alias("_worst"), F.min(error).alias("error"))
+    accepted = store.current_facts(dataset).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return status.join(accepted, "event_type", "left").select(
+        "event_type", F.when(F.col("error").isNotNull(), F.lit("failed")).otherwise(F.lit("success")).alias("status"), "error",
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("records_accepted"))
+
+
 # ---------------------------------------------------------------- registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -618,6 +687,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_filter": q_snapshot_filter,
     "reconcile": q_reconcile,
     "stream_upsert": q_stream_upsert,
+    "stream_files": q_stream_files,
+    "rebuild_raw": q_rebuild_raw,
+    "backfill_files": q_backfill_files,
 }
 
 
@@ -630,6 +702,10 @@ SELECT event_id, user_id, hour, ts, event_type, value FROM (
   FROM events) t WHERE rn = 1
 """
 
+ACCEPTED_FILES_SQL = """
+SELECT event_id, ts, user_id, event_type, value FROM events
+WHERE event_type IN ('click', 'purchase', 'signup', 'view') AND value BETWEEN 1 AND 100"""
+
 ORACLE_SQL: dict[str, str] = {
     "forecast_accuracy": ACCURACY_SQL_BODY.format(extra=""),
     "read_accuracy": ACCURACY_SQL_BODY.format(
@@ -807,6 +883,14 @@ SELECT g.rid, 'events' AS source, g.request_status, g.start_date, g.end_date,
        TIMESTAMP '2024-01-31 00:00:00' AS ingestion_timestamp,
        ['Curated data only -- quarantined/rejected records are never included.'] AS known_limitations
 FROM guarded g LEFT JOIN stats s USING (rid)""",
+    "stream_files": ACCEPTED_FILES_SQL,
+    "rebuild_raw": ACCEPTED_FILES_SQL,
+    "backfill_files": """
+SELECT t.event_type, CASE WHEN t.error IS NULL THEN 'success' ELSE 'failed' END AS status, t.error,
+       CAST(count(e.event_id) FILTER (WHERE t.error IS NULL AND e.value BETWEEN 1 AND 100) AS BIGINT) AS records_accepted
+FROM (VALUES ('click', NULL), ('purchase', NULL), ('signup', NULL), ('view', NULL), ('error', 'missing columns: value'),
+             ('refund', 'source file not available')) t(event_type, error)
+LEFT JOIN events e ON e.event_type = t.event_type GROUP BY t.event_type, t.error""",
     "stream_upsert": """
 SELECT user_id, hour, event_id, value FROM (
   SELECT user_id, date_trunc('hour', ts) AS hour, event_id, value,

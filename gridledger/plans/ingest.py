@@ -317,7 +317,7 @@ def _same_files(store: Store, dataset: Dataset, batch_seq: int, incoming: DataFr
 
 
 def _recorded(store: Store, dataset: Dataset, run: DataFrame) -> IngestResult:
-    """The result of a run that committed earlier, read from the store."""
+    """The result of a run that came to its end, read from the store."""
     at = run.first()
 
     def own(df: DataFrame | None) -> DataFrame:
@@ -415,9 +415,8 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
     fstat = fstat.select(F.lit(run_id).alias("run_id"), F.lit(dataset.name).alias("source"), "*",
                          F.when(F.col("landing_error").isNotNull() | F.col("header_error").isNotNull(),
                                 F.lit(quality.FAILED)).otherwise(F.lit(quality.SUCCESS)).alias("file_status"))
-    put(fstat, "ledger", "files", scope=dataset.name)
-    fcount = fstat.agg(F.count(F.lit(1)).alias("n"),
-                       F.count_if(F.col("file_status") == quality.FAILED).alias("failed")).first()
+    fcount = put(fstat, "ledger", "files", scope=dataset.name, metrics=[
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("file_status") == quality.FAILED).alias("failed")])
     loaded_any = int(fcount["n"]) > int(fcount["failed"])
 
     # completeness over the current fact, where the dataset has a grid
@@ -443,9 +442,10 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
         finished_at=as_of, status=status, files_in=int(fcount["n"]), files_failed=int(fcount["failed"]), records_in=n_in,
         records_accepted=n_facts, records_quarantined=n_bad, records_deduplicated=max(n_in - n_bad - n_facts, 0),
         records_empty_documents=n_empty, watermark_after=watermark)
-    for cached in (flagged, landed, incoming, chunks):
+    for cached in (facts, flagged, landed, incoming, chunks, listed):
         cached.unpersist()
-    return IngestResult(run=run, files=fstat, accepted=facts, rejected=rejected)
+    # what was written, not a plan that would read the delivered files again
+    return _recorded(store, dataset, run)
 
 
 def _file_status(listed: DataFrame, landed: DataFrame, errors: DataFrame, max_document_bytes: int | None) -> DataFrame:
@@ -460,4 +460,4 @@ def _file_status(listed: DataFrame, landed: DataFrame, errors: DataFrame, max_do
               .otherwise(F.col("_collision")))
     header = F.when(error.isNotNull(), F.lit(None).cast("string")) \
               .when(~F.col("valid_text"), F.lit(NOT_TEXT)).otherwise(F.col("content_error"))
-    return all_.select(files.FILE_PATH, files.FILE_NAME, "landing_status", error.alias("landing_error"), header.alias("header_error"))
+    return all_.select("requested", files.FILE_PATH, files.FILE_NAME, "landing_status", error.alias("landing_error"), header.alias("header_error"))

@@ -35,13 +35,26 @@ def _file_name(path_col) -> F.Column:
 CSV_MAX_FIELDS = 20480
 
 
-def csv_fields(line: Column) -> Column:
+def csv_fields(line: Column, escape: str = '"') -> Column:
     """All fields of one CSV line, however many it has.
 
     A field that starts with a quote runs to the quote that closes it: separators in it are its own, a doubled quote
-    is one quote. A quote inside a field that does not start with one is a character like others. Lines without a
-    quote (nearly all) are split at the separators alone.
+    is one quote; with ``escape="\\\\"`` (the dialect that Spark writes) a backslash before a quote or a backslash stands
+    for the character after it too. A quote inside a field that does not start with one is a character like others.
+    Lines without a quote (nearly all) are split at the separators alone.
     """
+    if escape not in ('"', "\\"):
+        raise ValueError("a quote is escaped by a quote or a backslash")
+
+    def swap(x: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+        for a, b in pairs:
+            x = F.replace(x, F.lit(a), F.lit(b))
+        return x
+
+    # escaped characters stand aside while quotes are counted; a mark character in the data is escaped itself
+    marks = [] if escape == '"' else [("\x02", "\x02b"), ("\\\\", "\x02c"), ('\\"', "\x02d")]
+    back = [("\x02d", '"'), ("\x02c", "\\"), ("\x02b", "\x02")] if marks else []
+
     def join(acc: Column, piece: Column) -> Column:
         cur = F.when(acc["open"], F.concat(acc["cur"], F.lit(","), piece)).otherwise(piece)
         quotes = F.length(cur) - F.length(F.replace(cur, F.lit('"'), F.lit("")))
@@ -50,12 +63,12 @@ def csv_fields(line: Column) -> Column:
                         still.alias("open"), F.when(still, cur).otherwise(F.lit("")).alias("cur"))
 
     start = F.struct(F.array().cast("array<string>").alias("fields"), F.lit(False).alias("open"), F.lit("").alias("cur"))
-    joined = F.aggregate(F.split(line, ",", -1), start, join,
+    joined = F.aggregate(F.split(swap(line, marks), ",", -1), start, join,
                          lambda acc: F.when(acc["open"], F.concat(acc["fields"], F.array(acc["cur"]))).otherwise(acc["fields"]))
 
     def bare(x: Column) -> Column:
         inner = F.when(x.endswith('"') & (F.length(x) > 1), F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(F.substring(x, F.lit(2), F.length(x)))
-        return F.when(x.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(x)
+        return swap(F.when(x.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(x), back)
 
     return F.when(F.contains(line, F.lit('"')), F.transform(joined, bare)).otherwise(F.split(line, ",", -1))
 
@@ -78,7 +91,8 @@ def _by_name(fields: Column, header: Column, contract: Contract) -> list[Column]
     return cols
 
 
-def scan_checked_csv(spark: SparkSession, paths: Sequence[str], contract: Contract) -> tuple[DataFrame, DataFrame, DataFrame]:
+def scan_checked_csv(spark: SparkSession, paths: Sequence[str], contract: Contract,
+                     escape: str = '"') -> tuple[DataFrame, DataFrame, DataFrame]:
     """Header-check and scan headered CSV files of any size and width: ``(rows, file_status, scan)``.
 
     Files are read as lines, so that a large one is split over tasks. Each file's header is its first line -- the
@@ -96,13 +110,13 @@ def scan_checked_csv(spark: SparkSession, paths: Sequence[str], contract: Contra
              .select(F.regexp_replace("value", "\r$", "").alias("_line"), F.col("_metadata.file_path").alias(FILE_PATH),
                      F.col("_metadata.file_block_start").alias("_blk"), F.monotonically_increasing_id().alias("_id")))
     first = lines.filter(F.col("_blk") == 0).groupBy(FILE_PATH).agg(F.min_by("_line", "_id").alias("_first"), F.min("_id").alias("_hid"))
-    names, error = _header(csv_fields(F.col("_first")), contract)
+    names, error = _header(csv_fields(F.col("_first"), escape), contract)
     path = scratch_path(spark, "csv-headers")
     first.select(FILE_PATH, names.alias("header"), error.alias("header_error"), F.col("_first").alias("header_line")).write.parquet(path)
     status = spark.read.parquet(path)
     good = status.filter(F.col("header_error").isNull()).select(FILE_PATH, "header", "header_line")
     body = _with_header(lines.filter(F.trim("_line") != ""), good).filter(F.col("_line") != F.col("header_line"))
-    rows = (body.withColumn("_fields", csv_fields(F.col("_line")))
+    rows = (body.withColumn("_fields", csv_fields(F.col("_line"), escape))
                 .select(*_by_name(F.col("_fields"), F.col("header"), contract), F.col(FILE_PATH),
                         _file_name(F.col(FILE_PATH)).alias(FILE_NAME),
                         F.struct(F.col("_blk").alias("block"), F.col("_id").alias("pos")).alias(LINE_ORDER)))

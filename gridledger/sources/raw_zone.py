@@ -56,7 +56,7 @@ def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     wanted = spark.createDataFrame(asked, f"requested string, {FILE_PATH} string")
     found = wanted.join(listing(there) if there else none, FILE_PATH, "left")
     for g in globs:
-        rows = listing([g]).withColumn("requested", F.col(FILE_PATH)) if _matches(spark, g) else spark.createDataFrame(
+        rows = listing([g]).withColumn("requested", F.lit(g)) if _matches(spark, g) else spark.createDataFrame(
             [(g, None, None, g)], f"{FILE_PATH} string, length bigint, modified_at timestamp, requested string")
         found = found.unionByName(rows)
     return found.select("requested", FILE_PATH, _file_name(F.col(FILE_PATH)).alias(FILE_NAME), "length", "modified_at")

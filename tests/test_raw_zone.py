@@ -43,6 +43,13 @@ def test_fields_of_a_line_equal_the_csv_module(spark):
         assert got[i] == want, line
 
 
+def test_fields_written_by_spark_are_read_back(spark, tmp_path):
+    rows = [(1, '{"k": 1, "v": "a\\"b"}'), (2, "back\\slash"), (3, 'q",\x02d'), (4, "plain"), (5, 'x\\\\"'), (6, ',')]
+    spark.createDataFrame(rows, "i int, t string").coalesce(1).write.option("header", True).csv(str(tmp_path / "c"))
+    scanned, _, _ = files.scan_checked_csv(spark, [str(tmp_path / "c")], contracts.Contract("c", ("i", "t"), ()), escape="\\")
+    assert sorted((int(r.i), r.t) for r in scanned.collect()) == rows
+
+
 def _tree_hash(data: bytes, size: int) -> tuple[str, int]:
     """The hash by its definition: chunks of the lines that start in each stretch of ``size`` bytes."""
     if len(data) <= size:
