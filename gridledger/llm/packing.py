@@ -4,7 +4,9 @@ A document's ids are cut only if they exceed the sequence length: its first piec
 full sequences. Lengths lie between 1 and the sequence length, so the multiset of all pieces is a histogram of at most
 that many counts, whatever the number of documents. Per bin, a subset-sum dynamic program over a bitset finds the
 fullest feasible combination of the available lengths (the largest lengths among equally full ones); it is removed as
-often as the counts allow, which is one bin or a million bins with the same combination. The plan (a few thousand runs of
+often as the counts allow, which is one bin or a million bins with the same combination. Plans are made in several ways
+and the one with the fewest bins is kept: with the largest length left fixed in each bin (so that none is left without
+fillers at the end), with a few tokens of slack allowed where that takes fewer pieces, and without either. The plan (a few thousand runs of
 equal bins, bounded by the sequence length alone) is then joined back: the pieces of each length are numbered by hash
 buckets and counts, never by one task per length, and the r-th piece of a length takes the r-th slot of that length.
 
@@ -105,11 +107,15 @@ class Plan:
     bins: int
 
 
-def fullest(lengths: list[int], counts: dict[int, int], capacity: int) -> list[tuple[int, int]]:
+SLACKS = (0, 1, 2, 4, 8)      # tokens that a bin may be less full than it could be, if that takes fewer pieces
+
+
+def fullest(lengths: list[int], counts: dict[int, int], capacity: int, slack: int = 0) -> list[tuple[int, int]]:
     """The fullest combination of available lengths as (length, times), larger lengths preferred among equals.
 
     ``lengths`` ascends. A bitset holds the reachable sums; it is kept after every length, so that the combination can be
-    read back from the largest length down.
+    read back from the largest length down. With ``slack``, the one with the fewest pieces among the sums that are short
+    of the fullest by ``slack`` at most.
     """
     layers, sums = [], 1
     mask = (1 << (capacity + 1)) - 1
@@ -120,34 +126,69 @@ def fullest(lengths: list[int], counts: dict[int, int], capacity: int) -> list[t
             take = min(step, left)
             sums |= (sums << (take * length)) & mask
             left, step = left - take, 2 * step
-    total, out = sums.bit_length() - 1, []
-    for length, below in zip(reversed(lengths), reversed(layers), strict=True):
-        most = min(counts[length], total // length)
-        times = next(t for t in range(most, -1, -1) if below >> (total - t * length) & 1)
-        if times:
-            out.append((length, times))
-            total -= times * length
-    return out
 
+    def read_back(total: int) -> list[tuple[int, int]]:
+        out = []
+        for length, below in zip(reversed(lengths), reversed(layers), strict=True):
+            most = min(counts[length], total // length)
+            times = next(t for t in range(most, -1, -1) if below >> (total - t * length) & 1)
+            if times:
+                out.append((length, times))
+                total -= times * length
+        return out
 
-def plan_bins(histogram: dict[int, int], capacity: int = LENGTH) -> Plan:
-    """Minimum bin slack over a histogram; equal bins are made in one step, as many as the counts allow."""
+    best = sums.bit_length() - 1
+    sets = [read_back(total) for total in range(best, max(0, best - slack) - 1, -1) if sums >> total & 1]
+    return min(sets, key=lambda c: sum(times for _, times in c))
+
+
+def plan_runs(histogram: dict[int, int], capacity: int, seeded: bool, slack: int) -> list[tuple[list[tuple[int, int]], int]]:
+    """Combinations and how many bins have each; ``seeded`` fixes the largest length left in every bin."""
     counts = {k: v for k, v in histogram.items() if v > 0}
-    used = dict.fromkeys(counts, 0)
-    slots: list[tuple[int, int, int, int]] = []
-    bins = 0
+    runs = []
     while counts:
-        combination = fullest(sorted(counts), counts, capacity)
+        combination = []
+        if seeded:
+            seed = max(counts)
+            rest = {**counts, seed: counts[seed] - 1}
+            fitting = [k for k in sorted(rest) if rest[k] and k <= capacity - seed]
+            fill = dict(fullest(fitting, rest, capacity - seed, slack)) if fitting else {}
+            combination = [(seed, 1 + fill.pop(seed, 0)), *fill.items()]
+        else:
+            combination = fullest(sorted(counts), counts, capacity, slack)
         repeat = min(counts[length] // times for length, times in combination)
+        for length, times in combination:
+            counts[length] -= times * repeat
+            if not counts[length]:
+                del counts[length]
+        runs.append((combination, repeat))
+    return runs
+
+
+def plan_bins(histogram: dict[int, int], capacity: int = LENGTH) -> Plan:
+    """Minimum bin slack over a histogram; equal bins are made in one step, as many as the counts allow.
+
+    The work depends on the number of lengths, not of pieces. No further plan is made once one has as few bins as all
+    tokens fill.
+    """
+    least = -(-sum(k * v for k, v in histogram.items()) // capacity)
+    runs: list[tuple[list[tuple[int, int]], int]] = []
+    for n, (seeded, slack) in enumerate([*((True, s) for s in SLACKS), (False, 0)]):
+        found = plan_runs(histogram, capacity, seeded, slack)
+        if n == 0 or sum(r for _, r in found) < sum(r for _, r in runs):
+            runs = found
+        if sum(r for _, r in runs) <= least:
+            break
+    used = dict.fromkeys(histogram, 0)
+    slots: list[tuple[int, int, int, int]] = []
+    bins = 0
+    for combination, repeat in runs:
         offset = 0
         for length, times in combination:
             for _ in range(times):
                 slots.append((length, used[length], bins, offset))
                 used[length] += repeat
                 offset += length
-            counts[length] -= times * repeat
-            if not counts[length]:
-                del counts[length]
         bins += repeat
     slots.sort()
     columns = np.array(slots, dtype=np.int64).reshape(-1, 4).T

@@ -29,6 +29,19 @@ def test_pieces_pack_gaplessly(docs, odd, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_no_more_sequences_than_best_fit_decreasing(docs):
+    from bisect import bisect_left, insort
+
+    for frame in (docs, docs.sparkSession.read.parquet("/root/testdata/sf0.01/documents.parquet")):
+        sizes = [r[0] for r in packing.pieces(frame).select("length").collect()]
+        free = []                     # what is left in each bin, full ones included
+        for size in sorted(sizes, reverse=True):
+            at = bisect_left(free, size)
+            insort(free, (free.pop(at) if at < len(free) else packing.LENGTH) - size)
+        plan = packing.plan_bins(dict(Counter(sizes)))
+        assert -(-sum(sizes) // packing.LENGTH) <= plan.bins <= len(free)
+
+
 def test_fingerprints(docs, odd, empty):
     rows = simhash.fingerprint_documents(docs).toPandas().sort_values("doc_id").reset_index(drop=True)
     texts = docs.toPandas().sort_values("doc_id")["text"].tolist()
