@@ -42,7 +42,6 @@ from .datasets import Dataset
 EVENT_KEYS = ("click", "purchase", "signup", "view")
 UPSERT_CURRENT_BEFORE = "2024-01-20"
 UPSERT_INCOMING_FROM = "2024-01-15"
-UPSERT_MIN_VALUE = 20
 SWEEP_AS_OF = "2024-01-31 00:00:00"
 EXPORT_AS_OF = "2024-01-25"
 EXPORT_TRAILING_DAYS = 14
@@ -311,8 +310,7 @@ def _upsert_batches(spark, sf_dir):
                                         .drop("ts"), ["user_id", "hour"], ["event_id"])
     # the boundary is hour-aligned, so filtering the raw ts is the same as filtering the hour
     # and, unlike a date_trunc comparison, reaches the Parquet scan
-    incoming = h.filter((F.col("ts") >= F.lit(UPSERT_INCOMING_FROM).cast("timestamp_ntz"))
-                        & (F.col("value") > UPSERT_MIN_VALUE))
+    incoming = h.filter(F.col("ts") >= F.lit(UPSERT_INCOMING_FROM).cast("timestamp_ntz"))
     return current, incoming.drop("ts")
 
 
@@ -550,7 +548,7 @@ def _family_totals(ev, types):
 def q_reconcile(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     left = _family_totals(ev, ["click", "view"])
-    right = _family_totals(ev, ["purchase", "signup"])
+    right = _family_totals(ev, ["purchase", "signup", "error"])
     r = reconcile.reconcile(left, right, ["user_id", "day"], "total", RECONCILE_TOLERANCE)
     return r.select("user_id", "day", "left_value", "right_value", "difference", "reconcile_status")
 
@@ -777,7 +775,7 @@ cur AS (SELECT user_id, hour, event_id, value FROM (
           FROM h WHERE hour < TIMESTAMP '2024-01-20') t WHERE rn = 1),
 inc AS (SELECT user_id, hour, event_id, value FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id, hour ORDER BY event_id DESC) AS rn
-          FROM h WHERE hour >= TIMESTAMP '2024-01-15' AND value > 20) t WHERE rn = 1)
+          FROM h WHERE hour >= TIMESTAMP '2024-01-15') t WHERE rn = 1)
 SELECT coalesce(i.user_id, c.user_id) AS user_id, coalesce(i.hour, c.hour) AS hour,
        CASE WHEN i.user_id IS NOT NULL THEN i.event_id ELSE c.event_id END AS event_id,
        CASE WHEN i.user_id IS NOT NULL THEN i.value ELSE c.value END AS value
@@ -912,7 +910,7 @@ ORDER BY event_id LIMIT 500""",
 WITH l AS (SELECT user_id, CAST(ts AS DATE) AS day, """ + EXACT_SUM_SQL + """ AS total FROM events
            WHERE event_type IN ('click', 'view') GROUP BY 1, 2),
 r AS (SELECT user_id, CAST(ts AS DATE) AS day, """ + EXACT_SUM_SQL + """ AS total FROM events
-      WHERE event_type IN ('purchase', 'signup') GROUP BY 1, 2)
+      WHERE event_type IN ('purchase', 'signup', 'error') GROUP BY 1, 2)
 SELECT coalesce(l.user_id, r.user_id) AS user_id, coalesce(l.day, r.day) AS day,
        l.total AS left_value, r.total AS right_value, l.total - r.total AS difference,
        CASE WHEN r.user_id IS NULL THEN 'only_left' WHEN l.user_id IS NULL THEN 'only_right'

@@ -56,7 +56,7 @@ def test_micro_batch_keeps_its_rows_beside_batch_runs(spark, tmp_path):
     with pytest.raises(Exception):
         ingest(store, LOAD, [str(tmp_path / "none.csv")], "r0", 0, AS_OF)          # a failed run that used number 0
     ingest(store, LOAD, [_write_csv(tmp_path / "a.csv", _load_rows(4, 4))], "r1", 1, AS_OF)
-    batch = store.facts(LOAD).log().limit(3).drop("_batch_seq", "_row_seq").withColumn("baa", F.concat("baa", F.lit("-s"))).localCheckpoint()
+    batch = store.facts(LOAD).log().limit(3).drop("_batch_seq", "_row_seq").withColumn("baa", F.concat("baa", F.lit("-s"))).checkpoint()
     fn = upsert_batches(store, LOAD.name, LOAD.keys, LOAD.date_col, lambda b: b, LOAD.keys, AS_OF)
     for batch_id in (0, 1, 1):
         fn(batch, batch_id)
