@@ -196,6 +196,7 @@ class Parsed:
     file_errors: DataFrame           # source_path, content_error: files whose content fails as a whole
     documents: DataFrame | None      # malformed documents: source_path, source_file, document_text
     empty: Observation | None        # how many documents had a missing, NULL or empty array
+    held: DataFrame | None = None    # the persisted documents, for the caller to let go
 
 
 def _parse(dataset: Dataset, chunks: DataFrame, any_large: bool = True) -> Parsed:
@@ -219,8 +220,8 @@ def _parse(dataset: Dataset, chunks: DataFrame, any_large: bool = True) -> Parse
         empty = Observation(f"empty-docs-{uuid.uuid4().hex}")
         good = good.observe(empty, F.count_if(F.coalesce(F.size(dataset.explode), F.lit(0)) <= 0).alias("n"))
         parents = [*dataset.parents, *keep]
-        return Parsed(files.explode_documents(good, dataset.explode, parents, position_col="_line_order"), errors, bad, empty)
-    return Parsed(good.withColumn("_line_order", F.lit(0)), errors, bad, None)
+        return Parsed(files.explode_documents(good, dataset.explode, parents, position_col="_line_order"), errors, bad, empty, docs)
+    return Parsed(good.withColumn("_line_order", F.lit(0)), errors, bad, None, docs)
 
 
 MALFORMED = "document:malformed"
@@ -442,8 +443,9 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
         finished_at=as_of, status=status, files_in=int(fcount["n"]), files_failed=int(fcount["failed"]), records_in=n_in,
         records_accepted=n_facts, records_quarantined=n_bad, records_deduplicated=max(n_in - n_bad - n_facts, 0),
         records_empty_documents=n_empty, watermark_after=watermark)
-    for cached in (facts, flagged, landed, incoming, chunks, listed):
-        cached.unpersist()
+    for cached in (facts, flagged, parsed.held, landed, incoming, chunks, listed):
+        if cached is not None:
+            cached.unpersist()
     # what was written, not a plan that would read the delivered files again
     return _recorded(store, dataset, run)
 
