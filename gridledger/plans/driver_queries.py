@@ -51,6 +51,7 @@ OVERLAP_HOURS = 6
 RECONCILE_TOLERANCE = 5.0
 BULK_CAP = 100
 BULK_SPAN_DAYS = 2
+MICROJOULES_PER_KWH = 3.6e12
 MONEY_DIGITS = 4          # prices and discounts carry 2 decimals each: errors are exact at 4
 RATIO_DIGITS = 9
 VALUE_DIGITS = 4
@@ -202,6 +203,13 @@ def q_daily_station_mean(spark, sf_dir):
                     F.col("readings").cast("bigint").alias("readings"), "first_props")
 
 
+def q_wide_mean(spark, sf_dir):
+    """Means in microjoules of readings in kWh: their exact sums are far beyond 64 bits."""
+    ev = _t(spark, sf_dir, "events").withColumn("microjoules", F.col("value") * F.lit(MICROJOULES_PER_KWH))
+    means = normalize.station_day_mean(ev, ["event_type"], ["microjoules"], digits=6)
+    return means.select("event_type", "avg_microjoules", F.col("readings").cast("bigint").alias("readings"))
+
+
 def q_explode_readings(spark, sf_dir):
     emb = _t(spark, sf_dir, "embeddings")
     flat = emb.select("vec_id", F.posexplode("embedding").alias("pos", "x"))
@@ -654,6 +662,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_normalize": q_interval_normalize,
     "dedup_keep_last": q_dedup_keep_last,
     "daily_station_mean": q_daily_station_mean,
+    "wide_mean": q_wide_mean,
     "explode_readings": q_explode_readings,
     "scan_csv": q_scan_csv,
     "scan_json": q_scan_json,
@@ -739,6 +748,10 @@ FROM events""",
 SELECT CAST(ts AS DATE) AS day, event_type, """ + exact_mean_sql("value", 4) + """ AS avg_value,
        CAST(count(*) AS BIGINT) AS readings, arg_min(props, event_id) AS first_props
 FROM events GROUP BY CAST(ts AS DATE), event_type""",
+    "wide_mean": """
+SELECT event_type, """ + exact_mean_sql("value * 3600000000000.0::DOUBLE", 6) + """ AS avg_microjoules,
+       CAST(count(*) AS BIGINT) AS readings
+FROM events GROUP BY event_type""",
     "explode_readings": """
 SELECT vec_id, CAST(pos AS BIGINT) AS pos, CAST(x AS DOUBLE) AS x FROM (
   SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS pos, unnest(embedding) AS x

@@ -1,10 +1,15 @@
 """Empty inputs, NULL keys and boundaries across operators."""
 
 import datetime as dt
+import math
+from fractions import Fraction
 
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from gridledger.functions.exact import exact_mean
+from gridledger.functions.exact import exact_mean, exact_sum
 from gridledger.operators import accuracy, landing, quality, reads, reconcile, upsert
 from gridledger.operators.keyed import latest_per_key
 
@@ -42,6 +47,41 @@ def test_exact_mean_handles_nulls_and_negative_values(spark):
     assert got["x"] == -0.2 and got["y"] is None
 
 
+@pytest.mark.parametrize("values, digits, mean", [
+    ([1e11] * 3, 9, 1e11),
+    ([1e11, -1e11, 3.0], 9, 1.0),
+    ([9e18, 9e18, -9e18, -9e18, 4.0], 9, 0.8),
+    ([1.0 / 1e-12, 1.0], 9, 500000000000.5),            # the ratio to a tiny actual
+    ([float("nan"), 1.0], 4, float("nan")),
+    ([float("inf"), 1e300], 4, float("inf")),
+    ([float("-inf"), None], 4, float("-inf")),
+    ([float("inf"), float("-inf")], 4, float("nan")),
+    ([5e-324, -5e-324], 4, 0.0),
+])
+def test_exact_mean_over_the_double_range(spark, values, digits, mean):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    got = df.agg(exact_mean("v", digits).alias("m")).first()["m"]
+    assert got == mean or (math.isnan(got) and math.isnan(mean))
+
+
+def test_exact_sum_states_what_it_cannot_hold(spark):
+    df = spark.createDataFrame([("a", 1e300), ("a", -1e300), ("b", 2.5)], "k string, v double")
+    with pytest.raises(Exception, match="exact sum: beyond 2\\^93 units"):
+        df.groupBy("k").agg(exact_sum("v", 4).alias("s")).collect()
+    got = {r["k"]: r["s"] for r in df.groupBy("k").agg(exact_sum("v", 4, overflow="null").alias("s")).collect()}
+    assert got == {"a": None, "b": 2.5}
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.floats(-1e17, 1e17), min_size=1, max_size=30))
+def test_exact_mean_is_near_the_true_mean(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    a, b = (d.agg(exact_mean("v", 9).alias("m")).first()["m"] for d in (df.repartition(1), df.repartition(5)))
+    true = sum(map(Fraction, values)) / len(values)
+    size = max(abs(v) for v in values)
+    assert a == b and abs(Fraction(a) - true) <= Fraction(1, 10 ** 9) + Fraction(size) / 2 ** 50
+
+
 def test_guard_accepts_exactly_366_days_and_same_day(spark):
     req = spark.createDataFrame([("2024-01-01", "2024-12-31"), ("2024-01-01", "2025-01-01"),
                                  ("2024-01-01", "2025-01-02"), ("2024-02-29", "2024-02-29")], "s string, e string")
