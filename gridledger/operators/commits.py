@@ -50,6 +50,11 @@ def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _path(spark, path)
+    return fs.exists(p)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """The text of a claim file (empty while its creator has not written it yet)."""
     p, fs = _path(spark, path)

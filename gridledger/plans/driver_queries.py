@@ -34,6 +34,7 @@ from ..functions.exact import exact_mean_sql, exact_sum
 from ..functions.hashing import capture_name, content_sha
 from ..functions.timeparse import US_DATETIME, parse_iso_instant
 from ..operators import accuracy, contracts, landing, normalize, quality, reads, reconcile, upsert
+from ..operators.gap_state import GapState
 from ..session import apply_sql_settings, materialize, scratch_path
 from ..sources import files
 from .datasets import Dataset
@@ -42,6 +43,7 @@ from .datasets import Dataset
 EVENT_KEYS = ("click", "purchase", "signup", "view")
 UPSERT_CURRENT_BEFORE = "2024-01-20"
 UPSERT_INCOMING_FROM = "2024-01-15"
+GAP_BATCHES = ("2024-01-11", "2024-01-21")
 SWEEP_AS_OF = "2024-01-31 00:00:00"
 EXPORT_AS_OF = "2024-01-25"
 EXPORT_TRAILING_DAYS = 14
@@ -363,6 +365,24 @@ gaps AS (
 )"""
 
 
+def q_gap_state(spark, sf_dir):
+    """Gaps from the state kept per batch: the month's last days come first, its first days last, one attempt dies."""
+    ev = _t(spark, sf_dir, "events").select("event_type", "ts")
+    state = GapState(spark, scratch_path(spark, "gap-state"), ["event_type"], "ts", 3600)
+    first, second = F.col("ts") < F.lit(GAP_BATCHES[0]), F.col("ts") < F.lit(GAP_BATCHES[1])
+
+    def committed(*pairs):
+        return spark.createDataFrame(list(pairs), f"{upsert.BATCH_SEQ} bigint, {upsert.ATTEMPT} bigint")
+    state.seed(None)
+    state.append(ev.filter(~second), 3)
+    state.fold(committed((3, 0)))
+    state.append(ev, 2)                                  # never committed
+    state.append(ev.filter(~first & second), 2, 1)
+    state.fold(committed((3, 0), (2, 1)))
+    state.append(ev.filter(first), 1)
+    return state.gaps(committed((3, 0), (2, 1), (1, 0)))
+
+
 def q_quality_rollup(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     keys = ev.select("event_type").distinct()
@@ -674,6 +694,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_history": q_upsert_history,
     "incremental_overlap": q_incremental_overlap,
     "gap_detect": q_gap_detect,
+    "gap_state": q_gap_state,
     "quality_rollup": q_quality_rollup,
     "freshness_state": q_freshness_state,
     "freshness_sweep": q_freshness_sweep,
@@ -805,6 +826,7 @@ UNION ALL SELECT * FROM inc""",
 SELECT event_id, ts, user_id, value FROM events
 WHERE ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20') - INTERVAL 6 HOUR""",
     "gap_detect": "WITH " + GAPS_CTE + " SELECT * FROM gaps",
+    "gap_state": "WITH " + GAPS_CTE + " SELECT * FROM gaps",
     "quality_rollup": "WITH " + GAPS_CTE + """
 , keys AS (SELECT DISTINCT event_type FROM events),
 cnt AS (SELECT event_type, count(*) AS n FROM gaps GROUP BY event_type)

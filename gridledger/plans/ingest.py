@@ -22,6 +22,7 @@ Layout under ``store_root`` (a shared path); every attempt of a batch writes its
     raw/<dataset>/               the landed bytes under their hash (``sources.raw_zone``)
     quarantine/<dataset>/        rejected rows and documents, original text + reason + lineage (only when any)
     normalized/<dataset>/        accepted fact rows per run, partitioned by event_date
+    gaps/<dataset>/              first and last reading per time bucket and batch, and the gaps found (``operators.gap_state``)
     facts/<dataset>/log, base    change log; compacted snapshot and the list of what it holds
     ledger/runs, ledger/checks, ledger/files   run records, check results, per-file status
 
@@ -45,6 +46,7 @@ from pyspark.sql import types as T
 from ..functions.hashing import capture_name
 from ..operators import contracts, landing, quality
 from ..operators.commits import claim_batch
+from ..operators.gap_state import GapState
 from ..operators.keyed import latest_per_key
 from ..operators.upsert import ATTEMPT, BATCH_SEQ, ChangeLog, attempt_filter, named_attempts, write_batch
 from ..session import broadcast_if_small
@@ -94,6 +96,11 @@ class Store:
     def facts(self, dataset: Dataset) -> ChangeLog:
         return ChangeLog(self.spark, self.path("facts", dataset.name), dataset.keys, dataset.date_col)
 
+    def gap_state(self, dataset: Dataset) -> GapState:
+        """The gaps of a fact whose key is a series and a time, kept per batch."""
+        *series, ts = dataset.keys
+        return GapState(self.spark, self.path("gaps", dataset.name), series, ts, dataset.max_gap_seconds)
+
     def runs(self) -> DataFrame:
         if not self.exists("ledger", "runs"):
             return self.spark.createDataFrame([], RUN_SCHEMA)
@@ -224,6 +231,7 @@ def _parse(dataset: Dataset, chunks: DataFrame, any_large: bool = True) -> Parse
     return Parsed(good.withColumn("_line_order", F.lit(0)), errors, bad, None, docs)
 
 
+FOLD_AFTER = 8              # attempts whose bucket rows a completeness check reads before they are folded
 MALFORMED = "document:malformed"
 ABSENT = "source file not available"
 UNREADABLE = "source file could not be read"
@@ -420,15 +428,18 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("file_status") == quality.FAILED).alias("failed")])
     loaded_any = int(fcount["n"]) > int(fcount["failed"])
 
-    # completeness over the current fact, where the dataset has a grid
+    # completeness of the whole fact, where the dataset has a grid: from its gap state, not from its rows
+    state = None
     if dataset.max_gap_seconds is not None and loaded_any:
         # this attempt is not committed yet: include it explicitly
         committed = store.committed(dataset).unionByName(
             spark.createDataFrame([(int(batch_seq), int(attempt))], f"{BATCH_SEQ} bigint, {ATTEMPT} bigint"))
-        cur = store.facts(dataset).current(committed)
-        *series, ts = dataset.keys
-        gaps = quality.detect_gaps(cur, series, ts, dataset.max_gap_seconds)
-        put(quality.completeness_result(gaps, run_id, as_of), "ledger", "checks", scope=dataset.name)
+        state = store.gap_state(dataset)
+        if not state.seeded():
+            earlier = store.committed(dataset)
+            state.seed(None if earlier.isEmpty() else store.facts(dataset).current(earlier))
+        state.append(facts, batch_seq, attempt)
+        put(quality.completeness_result(state.gaps(committed), run_id, as_of), "ledger", "checks", scope=dataset.name)
 
     status = quality.SUCCESS if loaded_any else quality.FAILED
     if loaded_any and partial_on_rejects and (n_bad > 0 or int(fcount["failed"]) > 0):
@@ -443,6 +454,8 @@ def _ingest(store: Store, dataset: Dataset, paths: list[str], run_id: str, batch
         finished_at=as_of, status=status, files_in=int(fcount["n"]), files_failed=int(fcount["failed"]), records_in=n_in,
         records_accepted=n_facts, records_quarantined=n_bad, records_deduplicated=max(n_in - n_bad - n_facts, 0),
         records_empty_documents=n_empty, watermark_after=watermark)
+    if state is not None:
+        state.fold(store.committed(dataset), least=FOLD_AFTER)
     for cached in (facts, flagged, parsed.held, landed, incoming, chunks, listed):
         if cached is not None:
             cached.unpersist()
