@@ -66,7 +66,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     schema = df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    out = df.sparkSession.read.schema(schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables of ``written`` frames that nothing will read any more (others are left alone)."""
+    for frame in frames:
+        path = getattr(frame, "_written_to", None)
+        if path is not None:
+            sc = frame.sparkSession.sparkContext
+            at = sc._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
