@@ -135,8 +135,9 @@ class GapState:
         columns = [*self.series, "_group", "_lo", "_hi", "_gaps"]
         parts = []
         if self._has("folded") and self._has("groups"):
-            whole = self._read("folded").select("_fold").distinct()      # a fold that died wrote no list
-            parts.append(self._read("groups").join(F.broadcast(whole), "_fold", "left_semi").select(*columns, F.col("_fold").cast("bigint")))
+            # folds are numbered one by one: a fold that died has no list, and its number is above all that do
+            last = self._read("folded").agg(F.max("_fold")).first()[0]
+            parts.append(self._read("groups").filter(F.col("_fold") <= int(last)).select(*columns, F.col("_fold").cast("bigint")))
         touched = self._touched(committed)
         if touched is not None:
             parts.append(touched.select(*columns, F.lit(2 ** 62).alias("_fold")))
