@@ -109,31 +109,90 @@ def _request_stats(requests: DataFrame, facts: DataFrame, rid_col: str, req_key_
 def bulk_read(requests: DataFrame, facts: DataFrame, rid_col: str, req_key_col: str,
               fact_key_col: str, ts_col: str, order_cols: Sequence[str],
               cap: int = MAX_ROWS) -> DataFrame:
-    """Answer many validated range reads at once.
+    """Answer many validated range reads at once; ``rid_col`` names a request (unique).
 
     Range join without a theta join: each request is expanded to the UTC
     days it covers (at most ``MAX_RANGE_DAYS + 1`` per request, enforced by
     the guard), facts get their UTC day, and the two meet on an equi join
-    ``(key, day)``; only matching rows are produced. The cap is a
-    ``row_number() <= cap`` filter, which Spark turns into a partial
-    per-partition group limit before the shuffle (``WindowGroupLimit``), so
-    a request matching a huge share of the data is still cut map-side.
-    ``matched_rows`` / ``truncated`` come from the per-(key, day) fact
-    statistics, so counting never re-joins the fact rows themselves.
+    ``(key, day)``; only matching rows are produced. ``matched_rows`` /
+    ``truncated`` come from the per-(key, day) fact statistics, so counting
+    never re-joins the fact rows themselves.
+
+    A read in time order (``order_cols`` starts with ``ts_col``) knows from
+    these statistics how many of its rows lie before each of its days, so
+
+    * only the days that begin below the cap are joined at all,
+    * the facts of a (key, day) are put in order once for all requests that
+      overlap there, and only its first ``cap`` rows cross the shuffle
+      (``WindowGroupLimit`` cuts each input partition first),
+    * a row's place in a request is the count before its day plus its place
+      in the day, so no request's rows are gathered or sorted again: the join
+      emits the answer, ``cap`` rows a request at most.
+
+    Any other order needs every matching row: the cap is then a
+    ``row_number() <= cap`` per request, cut per partition in the same way.
+
+    Rows without a key or a timestamp match no request; invalid requests and
+    requests without a match give no rows (``read_envelope`` lists them).
     """
+    cap = int(cap)
+    first = order_cols[0]
+    if isinstance(first, str) and first == ts_col:
+        days = _days_to_read(requests, facts, rid_col, req_key_col, fact_key_col, ts_col, cap).alias("days")
+        ranked = _first_of_day(requests, facts, fact_key_col, ts_col, order_cols, cap).alias("ranked")
+        place = F.col("days._before") + F.col("ranked._place")
+        met = (F.col("days._key") == F.col(f"ranked.`{fact_key_col}`")) & (F.col("days._day") == F.col("ranked._fday"))
+        total = F.col("days.matched_rows")
+        return (days.join(ranked, met & (place <= F.lit(cap)))
+                    .select(F.col("days._rid").alias(rid_col), *[F.col(f"ranked.`{c}`") for c in facts.columns],
+                            place.alias("row_in_request"), total, (total > F.lit(cap)).alias("truncated")))
     days = _request_days(_valid_requests(requests, rid_col, req_key_col))
     f = facts.withColumn("_fday", F.to_date(F.col(ts_col)))
     matched = (days.join(f, (days["_key"] == f[fact_key_col]) & (days["_day"] == f["_fday"]))
                    .drop("_key", "_day", "_fday").withColumnRenamed("_rid", rid_col))
     w = Window.partitionBy(rid_col).orderBy(*order_cols)
-    capped = matched.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= int(cap))
+    capped = matched.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap)
     counts = _request_stats(requests, facts, rid_col, req_key_col, fact_key_col, ts_col) \
         .select(F.col("_rid").alias(rid_col), "matched_rows")
     return (capped.join(counts, rid_col)
-                  .withColumn("truncated", F.col("matched_rows") > F.lit(int(cap)))
+                  .withColumn("truncated", F.col("matched_rows") > F.lit(cap))
                   .withColumnRenamed("_rn", "row_in_request"))
 
 
+def _days_to_read(requests: DataFrame, facts: DataFrame, rid_col: str, req_key_col: str,
+                  fact_key_col: str, ts_col: str, cap: int) -> DataFrame:
+    """The (request, day) pairs that the first ``cap`` rows of each request lie in.
+
+    ``_before`` is the number of the request's rows on earlier days (a prefix
+    sum over one row per day, 367 at most), ``matched_rows`` their number on all.
+    """
+    days = _request_days(_valid_requests(requests, rid_col, req_key_col))
+    stats = fact_day_stats(facts, fact_key_col, ts_col)
+    per_day = days.join(stats, (days["_key"] == stats["_skey"]) & (days["_day"] == stats["_sday"])) \
+                  .select("_rid", "_key", "_day", "_n")
+    request = Window.partitionBy("_rid").orderBy("_day")
+    earlier = F.sum("_n").over(request.rowsBetween(Window.unboundedPreceding, -1))
+    total = F.sum("_n").over(request.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return (per_day.withColumn("_before", F.coalesce(earlier, F.lit(0).cast("bigint"))).withColumn("matched_rows", total)
+                   .filter(F.col("_before") < F.lit(cap)))
+
+
+def _first_of_day(requests: DataFrame, facts: DataFrame, fact_key_col: str, ts_col: str,
+                  order_cols: Sequence[str], cap: int) -> DataFrame:
+    """The first ``cap`` facts of every (key, day) between the first and the last day any request asks for.
+
+    The bounds are scalar subqueries over the requests; they reach the scan as filters on ``ts_col``.
+    """
+    t = facts.schema[ts_col].dataType
+    asked = requests.filter(F.col("request_status") == OK)
+    lo = asked.agg(F.min("start_date").cast(t)).scalar()
+    hi = asked.agg(F.date_add(F.max("end_date"), 1).cast(t)).scalar()
+    near = facts.filter((F.col(ts_col) >= lo) & (F.col(ts_col) < hi) & F.col(fact_key_col).isNotNull())
+    w = Window.partitionBy(fact_key_col, "_fday").orderBy(*order_cols)
+    return (near.withColumn("_fday", F.to_date(F.col(ts_col))).withColumn("_place", F.row_number().over(w))
+                .filter(F.col("_place") <= F.lit(cap)))
+
+
 def read_envelope(requests: DataFrame, facts: DataFrame, rid_col: str, req_key_col: str,
                   fact_key_col: str, ts_col: str, cap: int = MAX_ROWS, source: str = "facts",
                   generated_at=None) -> DataFrame:
