@@ -55,6 +55,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder (none if there is no such folder); for folders of claim files."""
+    p, fs = _path(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p) if f.isFile()] if fs.exists(p) else []
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """The text of a claim file (empty while its creator has not written it yet)."""
     p, fs = _path(spark, path)

@@ -37,10 +37,12 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], value_col:
                     status.alias("reconcile_status"))
 
 
-def incremental_window(df: DataFrame, ts_col: str, watermark, overlap_hours: int) -> DataFrame:
+def incremental_window(df: DataFrame, ts_col: str, watermark, overlap_hours: int, keep_undated: bool = False) -> DataFrame:
     """Rows to re-pull: ``ts >= watermark - overlap`` (late revisions inside the overlap are re-read).
 
     ``watermark`` is a literal or a Column (e.g. a scalar aggregate joined in).
+    Rows without a timestamp are on no side of it: they are left out unless ``keep_undated``.
     """
     wm = watermark if isinstance(watermark, Column) else F.lit(watermark).cast(df.schema[ts_col].dataType)
-    return df.filter(F.col(ts_col) >= wm - F.expr(f"INTERVAL {int(overlap_hours)} HOURS"))
+    late = F.col(ts_col) >= wm - F.expr(f"INTERVAL {int(overlap_hours)} HOURS")
+    return df.filter(F.col(ts_col).isNull() | late if keep_undated else late)

@@ -271,9 +271,10 @@ class ChangeLog:
         new = self.spark.read.parquet(plan_path)
         log = self.spark.read.parquet(self.log_path)
         delta = only_attempts(log.filter(F.col(BATCH_SEQ).between(int(low), int(high))), new)
-        touched = delta.select(self.date_col).distinct()
+        # rows without a date have a partition too
+        touched = delta.select(F.col(self.date_col).alias("_touched")).distinct()
         held = self.folded().unionByName(new)
-        history = only_attempts(log, held).join(touched, self.date_col, "left_semi")
+        history = only_attempts(log, held).join(touched, F.col(self.date_col).eqNullSafe(F.col("_touched")), "left_semi")
         latest = latest_per_key(history, self.keys, [BATCH_SEQ, ATTEMPT, ROW_SEQ]) \
             .withColumn(BATCH_SEQ, F.col(BATCH_SEQ).cast("bigint")).withColumn(ATTEMPT, F.col(ATTEMPT).cast("bigint"))
         (latest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -50,6 +50,7 @@ EXPORT_TRAILING_DAYS = 14
 FORECAST_AS_OF = "2024-01-10"
 FORECAST_FORWARD_DAYS = 14
 OVERLAP_HOURS = 6
+LATE_HOURS = 3
 RECONCILE_TOLERANCE = 5.0
 BULK_CAP = 100
 BULK_SPAN_DAYS = 2
@@ -345,6 +346,20 @@ def q_incremental_overlap(spark, sf_dir):
     return repull.select("event_id", "ts", "user_id", "value")
 
 
+def q_incremental_pull(spark, sf_dir):
+    """Two pulls of a growing source through the ledger's watermark: the first delivery lacks the views of its last hours."""
+    from .ingest import Store
+    from .repull import RUN_COL, IncrementalFact
+    ev = _t(spark, sf_dir, "events").select(*FILE_COLUMNS)
+    cut = F.lit(UPSERT_CURRENT_BEFORE).cast("timestamp_ntz")
+    late = F.coalesce((F.col("event_type") == "view") & (F.col("ts") >= cut - F.expr(f"INTERVAL {LATE_HOURS} HOURS")), F.lit(False))
+    fact = IncrementalFact(Store(spark, scratch_path(spark, "incremental-pull")), "events", ["event_id"], "ts", OVERLAP_HOURS)
+    fact.pull(ev.filter((F.col("ts") < cut) & ~late), "first", FILES_AS_OF)
+    run = fact.pull(ev, "second", FILES_AS_OF).first()
+    return (fact.current().withColumn("watermark_before", F.lit(run["watermark_before"]).cast("timestamp_ntz"))
+                .withColumn("watermark_after", F.lit(run["watermark_after"]).cast("timestamp_ntz")).withColumnRenamed(RUN_COL, "run_id"))
+
+
 # ---------------------------------------------------------------- quality
 
 def _event_gaps(spark, sf_dir):
@@ -560,6 +575,29 @@ def q_export_forecast_window(spark, sf_dir):
     return reads.forward_window(ev, "ts", FORECAST_AS_OF, FORECAST_FORWARD_DAYS)
 
 
+def q_export_set(spark, sf_dir):
+    """Three exports published as a set, an older and an unfinished set beside it; read back through the pointer."""
+    from .export import latest_set, publish, read_export
+    ev = _t(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    out = scratch_path(spark, "export-set")
+
+    def frames(as_of):
+        return {"history": ("events", reads.trailing_window(ev, "ts", as_of, EXPORT_TRAILING_DAYS)),
+                "outlook": ("events", reads.forward_window(ev, "ts", as_of, FORECAST_FORWARD_DAYS)),
+                "newest": ("events", reads.newest(ev, [F.col("ts").desc(), F.col("event_id").desc()], BULK_CAP))}
+    publish(spark, frames(FORECAST_AS_OF), out, SWEEP_AS_OF)
+    published = publish(spark, frames(EXPORT_AS_OF), out, SWEEP_AS_OF)
+    frames(FORECAST_AS_OF)["history"][1].limit(1).write.json(f"{out}/sets/died/history/records")      # no envelope, no pointer
+    if latest_set(spark, out) != published:
+        raise RuntimeError("the pointer does not name the set published last")
+    found = None
+    for name in ("history", "outlook", "newest"):
+        one = read_export(spark, out, name, published)
+        rows = one.records.select(F.lit(name).alias("export"), "*", F.lit(one.envelope["record_count"]).cast("bigint").alias("record_count"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 def q_snapshot_filter(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("event_id", F.col("ts").cast("string").alias("ts_text"),
                                             "event_type", "value")
@@ -708,6 +746,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_interval": q_read_interval,
     "request_guard": q_request_guard,
     "bulk_read": q_bulk_read,
+    "incremental_pull": q_incremental_pull,
+    "export_set": q_export_set,
     "read_envelope": q_read_envelope,
     "quality_newest": q_quality_newest,
     "export_window": q_export_window,
@@ -825,6 +865,25 @@ UNION ALL SELECT * FROM inc""",
     "incremental_overlap": """
 SELECT event_id, ts, user_id, value FROM events
 WHERE ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20') - INTERVAL 6 HOUR""",
+    "incremental_pull": """
+WITH first AS (
+  SELECT max(ts) AS seen FROM events WHERE ts < TIMESTAMP '2024-01-20'
+    AND NOT coalesce(event_type = 'view' AND ts >= TIMESTAMP '2024-01-20' - INTERVAL 3 HOUR, false)
+), last AS (SELECT max(ts) AS seen FROM events)
+SELECT e.event_id, e.ts, e.user_id, e.event_type, e.value,
+       CASE WHEN e.ts < f.seen - INTERVAL 6 HOUR THEN 'first' ELSE 'second' END AS run_id,
+       f.seen AS watermark_before, l.seen AS watermark_after
+FROM events e, first f, last l""",
+    "export_set": """
+WITH rows AS (
+  SELECT 'history' AS export, event_id, ts, event_type, value FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-11'
+  UNION ALL
+  SELECT 'outlook', event_id, ts, event_type, value FROM events
+  WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-25' AND DATE '2024-02-08'
+  UNION ALL
+  SELECT 'newest', * FROM (SELECT event_id, ts, event_type, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 100) n
+)
+SELECT *, CAST(count(*) OVER (PARTITION BY export) AS BIGINT) AS record_count FROM rows""",
     "gap_detect": "WITH " + GAPS_CTE + " SELECT * FROM gaps",
     "gap_state": "WITH " + GAPS_CTE + " SELECT * FROM gaps",
     "quality_rollup": "WITH " + GAPS_CTE + """

@@ -36,7 +36,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -80,6 +80,11 @@ RUN_SCHEMA = T.StructType([
 class Store:
     spark: SparkSession
     root: str
+    ledger: DataFrame | None = None      # the run ledger as of some moment; None: as it is when read
+
+    def pinned(self) -> Store:
+        """This store with the ledger as it is now: runs that commit from here on are not seen through it."""
+        return replace(self, ledger=self.runs())
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -102,6 +107,8 @@ class Store:
         return GapState(self.spark, self.path("gaps", dataset.name), series, ts, dataset.max_gap_seconds)
 
     def runs(self) -> DataFrame:
+        if self.ledger is not None:
+            return self.ledger
         if not self.exists("ledger", "runs"):
             return self.spark.createDataFrame([], RUN_SCHEMA)
         return self.spark.read.schema(RUN_SCHEMA).parquet(self.path("ledger", "runs"))

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from gridledger.operators import reads
 from gridledger.plans.datasets import DAILY, LOAD
-from gridledger.plans.export import export_all
+from gridledger.plans.export import export_all, read_export
 from gridledger.plans.ingest import Store, ingest
 from gridledger.sources.files import read_snapshot
 from gridledger.streaming.file_stream import start_csv_stream
@@ -99,14 +99,16 @@ def test_export_all_writes_windows_and_envelopes(spark, tmp_path):
     docs = [("2026-01-01", 12.4, 100.0, "complete"), ("2026-07-16", 9.8, 93.75, "partial")]
     ingest(store, DAILY, [_json(dd / f"{d}.json", _daily_doc(d, k, p, s)) for d, k, p, s in docs], "r2", 1, AS_OF)
     out = str(tmp_path / "exports")
+    assert read_export(spark, out, "household_solar_history").status == "export_not_available"
     names = export_all(store, out, dt.date(2026, 1, 15))
     assert {"household_solar_history", "spp_load_conditions", "spp_load_forecast_accuracy", "source_health",
             "data_quality"} <= set(names)
-    hist = spark.read.json(f"{out}/household_solar_history/records")
-    assert hist.count() == 2                      # trailing window has no upper bound: July included
-    env = spark.read.json(f"{out}/household_solar_history/envelope").first()
-    assert env["record_count"] == 2 and env["source"] == "household_solar"
-    assert spark.read.json(f"{out}/spp_load_conditions/records").count() == 96
+    hist = read_export(spark, out, "household_solar_history")
+    assert hist.records.count() == 2                      # trailing window has no upper bound: July included
+    assert hist.envelope["record_count"] == 2 and hist.envelope["source"] == "household_solar"
+    assert read_export(spark, out, "spp_load_conditions").records.count() == 96
+    assert read_export(spark, out, "household_solar_forecast").status == "export_not_available"
+
 
 
 def test_csv_stream_catch_up_is_incremental(spark, tmp_path):
