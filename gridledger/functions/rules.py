@@ -68,6 +68,17 @@ def isin(col: str, allowed: Iterable) -> Rule:
                 lambda: ~F.col(col).isin(*allowed))
 
 
+def is_nan_text(col) -> Column:
+    """TRUE for text that a number parser reads as NaN, which stands for a missing number."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.lower(F.trim(c)).rlike(r"^[+-]?nan$")
+
+
+def not_missing(col: str) -> Rule:
+    """``not_null`` for numbers that come as text of a typed format: NaN is as missing as NULL."""
+    return Rule(f"{col}:not_null", lambda: F.col(col).isNull() | is_nan_text(col))
+
+
 def coerced(raw_col: str, typed_col: str, type_name: str) -> Rule:
     """Raw text was present (and not a missing-value token) but did not coerce to the type."""
     return Rule(f"{typed_col}:coerce({type_name})",
@@ -75,6 +86,12 @@ def coerced(raw_col: str, typed_col: str, type_name: str) -> Rule:
                 & F.col(typed_col).isNull())
 
 
+def coerced_value(raw_col: str, typed_col: str, type_name: str) -> Rule:
+    """``coerced`` for typed formats (JSON), which have a null of their own: only NaN is missing, ``"N/A"`` is an error."""
+    return Rule(f"{typed_col}:coerce({type_name})",
+                lambda: F.col(raw_col).isNotNull() & ~is_nan_text(raw_col) & F.col(typed_col).isNull())
+
+
 def try_number(col, type_name: str = "double") -> Column:
     """``try_cast`` text to a number; NaN becomes NULL (NaN > x is TRUE in Spark)."""
     v = F.expr(f"try_cast(`{col}` as {type_name})") if isinstance(col, str) else col.try_cast(type_name)

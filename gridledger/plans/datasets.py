@@ -130,10 +130,10 @@ DAILY = Dataset(
             R.not_null("system"),
             R.not_null(FILE_NAME),
             R.not_null("ingested_at"),
-            R.not_null("solar_production_kwh"),
-            R.coerced("solar_production_kwh", "solar_production_kwh_n", "double"),
+            R.not_missing("solar_production_kwh"),
+            R.coerced_value("solar_production_kwh", "solar_production_kwh_n", "double"),
             R.ge("solar_production_kwh_n", 0),
-            R.coerced("completeness_pct", "completeness_pct_n", "double"),
+            R.coerced_value("completeness_pct", "completeness_pct_n", "double"),
             R.in_range("completeness_pct_n", PCT_MIN, PCT_MAX),
             R.isin("data_status", DAILY_STATUS),
         )),
@@ -185,9 +185,9 @@ WEATHER = Dataset(
             R.not_null("station"),
             R.not_null("timestamp_local"),
             R.not_null(FILE_NAME),
-            R.coerced("sky_cover_pct", "sky_cover_pct_n", "double"),
+            R.coerced_value("sky_cover_pct", "sky_cover_pct_n", "double"),
             R.in_range("sky_cover_pct_n", PCT_MIN, PCT_MAX),
-            R.coerced("temperature_c", "temperature_c_n", "double"),
+            R.coerced_value("temperature_c", "temperature_c_n", "double"),
             R.in_range("temperature_c_n", TEMP_MIN_C, TEMP_MAX_C),
         )),
     keys=("date", "station"),
@@ -236,7 +236,7 @@ FORECAST = Dataset(
             R.not_null("captured_at_utc"),
             R.not_null(FILE_NAME),
             R.not_null("forecast_kwh"),
-            R.coerced("projected_kwh", "forecast_kwh", "double"),
+            R.coerced_value("projected_kwh", "forecast_kwh", "double"),
             R.ge("forecast_kwh", 0),
         )),
     keys=("forecast_for_date", "captured_at_utc"),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gridledger.functions import rules as R
 from gridledger.operators import contracts
-from gridledger.plans.datasets import LOAD, WEATHER
+from gridledger.plans.datasets import DAILY, FORECAST, LOAD, WEATHER
 
 
 def _load_rows(spark, data):
@@ -100,3 +100,19 @@ def test_csv_from_content_maps_columns_by_header_position(spark, tmp_path):
     assert got == [("a.csv", 2, "1", "2", "SPP"), ("a.csv", 4, None, None, "SWPW"), ("b.csv", 2, "7", "8", "SPP")]
     errs = {r["source_path"].rsplit("/", 1)[1]: r["header_error"] for r in status.collect()}
     assert errs == {"a.csv": None, "b.csv": None, "c.csv": "missing columns: Averaged Actual"}
+
+
+def test_numbers_of_json_documents_have_no_missing_value_words(spark):
+    values = ["1.5", None, "NaN", " nan", "-nan", "N/A", "", "null", "-1", "Infinity"]
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "id string, v string")
+    daily = df.select(F.lit("2026-01-01").alias("date"), F.lit("S").alias("system"), F.col("v").alias("solar_production_kwh"), F.lit("t").alias("ingested_at"),
+                      F.col("v").alias("completeness_pct"), F.lit("complete").alias("data_status"), F.col("id").alias("source_file"))
+    got = {r["source_file"]: r["rejection_reason"] for r in contracts.flag(DAILY.prepare(daily), DAILY.contract).collect()}
+    missing, word = "solar_production_kwh:not_null", "solar_production_kwh_n:coerce(double); completeness_pct_n:coerce(double)"
+    assert [got[str(i)] for i in range(len(values))] == [
+        None, missing, missing, missing, missing, word, word, word,
+        "solar_production_kwh_n:ge(0); completeness_pct_n:in_range(0,100)", "completeness_pct_n:in_range(0,100)"]
+    projected = df.select(F.lit("2026-01-01").alias("date"), F.lit("2026-01-01T00:00:00+00:00").alias("generated_at_utc"),
+                          F.col("v").alias("projected_kwh"), F.col("id").alias("source_file"))
+    accepted = contracts.accepted(contracts.flag(FORECAST.prepare(projected), FORECAST.contract))
+    assert sorted(r["source_file"] for r in accepted.collect()) == ["0", "9"]
